@@ -1 +1,263 @@
-"""Queries."""
+"""Incremental ingest, file sources and streams.
+
+The stored tables these queries read back are written by Spark from the given
+tables into a fresh folder below the shared scratch folder.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tidewell.catalogue import curated
+from tidewell.catalogue.base import Tables, query
+from tidewell.operators.nested import parse_json
+from tidewell.operators.upsert import BUCKET
+from tidewell.plans.entities import SUBSCRIPTIONS
+from tidewell.plans.jobs import landing_to_bronze, publish, seed_table
+from tidewell.session import scratch_path
+from tidewell.sources import files, lake, watermark
+from tidewell.sources.lineage import stamp_landing
+from tidewell.streaming import landing
+
+AT = datetime(2024, 5, 1, 12)
+_HALF = "timestamp '2024-01-16 00:00:00'"
+
+
+@query("watermark_max", "select max(ts) as watermark from events")
+def watermark_max(t: Tables):
+    return watermark.watermark_frame(t.events, "ts")
+
+
+@query(
+    "watermark_max_default",
+    "select coalesce(max(ts), timestamp '1900-01-01') as watermark from events where event_type = 'refund'",
+)
+def watermark_max_default(t: Tables):
+    refunds = t.events.filter("event_type = 'refund'")
+    return watermark.watermark_frame(refunds, "ts", watermark.EPOCH)
+
+
+@query(
+    "incremental_after",
+    f"select * from events where ts > (select max(ts) from events where ts < {_HALF})",
+)
+def incremental_after(t: Tables):
+    mark = watermark.high_watermark(t.events.filter(f"ts < {_HALF}"), "ts")
+    return watermark.rows_after(t.events, "ts", mark)
+
+
+_COPIED = "o_orderdate <= timestamp '1998-06-01 00:00:00' and o_orderstatus <> 'P'"
+
+
+@query(
+    "inclusive_copy",
+    f"""select * from orders where o_orderdate >= (select max(o_orderdate) from orders where {_COPIED})
+        and o_orderkey not in (select o_orderkey from orders where {_COPIED})""",
+)
+def inclusive_copy(t: Tables):
+    """Rows with the stamp of the watermark are found, none is copied twice."""
+    held = t.orders.filter(_COPIED)
+    return watermark.rows_to_copy(t.orders, held, "o_orderdate", {"o_orderkey": "o_orderkey"})
+
+
+@query(
+    "year_month_partition_counts",
+    """select year(o_orderdate) as year, month(o_orderdate) as month, count(*) as row_count,
+       sum(cast(o_totalprice as decimal(18,2)))::double as total from orders group by 1, 2""",
+)
+def year_month_partition_counts(t: Tables):
+    """Written as monthly CSV twice (the second time only the late years) and read back."""
+    path = scratch_path(t.spark, "monthly-csv")
+    rows = t.orders.withColumnRenamed("o_orderdate", "created_at")
+    lake.write_monthly_csv(rows, path)
+    lake.write_monthly_csv(rows.filter("created_at >= timestamp '2000-01-01 00:00:00'"), path)
+    stored = t.spark.read.option("header", True).csv(path)
+    return stored.groupBy(F.col("year").cast("int"), F.col("month").cast("int")).agg(
+        F.count("*").alias("row_count"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"),
+    ).toDF("year", "month", "row_count", "total")
+
+
+@query(
+    "bronze_append_evolve",
+    """select c_custkey, c_name, null as c_mktsegment from customer where c_acctbal < 0
+       union all select c_custkey, c_name, c_mktsegment from customer where c_acctbal >= 0""",
+)
+def bronze_append_evolve(t: Tables):
+    path = scratch_path(t.spark, "bronze-evolve")
+    lake.append(t.customer.filter("c_acctbal < 0").select("c_custkey", "c_name"), path)
+    lake.append(t.customer.filter("c_acctbal >= 0").select("c_custkey", "c_name", "c_mktsegment"), path)
+    return lake.read_lake(t.spark, path, evolving=True)
+
+
+@query(
+    "landing_to_bronze",
+    """select event_id, case when ts < timestamp '2024-01-16' then timestamp '2024-01-16'
+       else timestamp '2024-02-01' end as dw_ingested_at from events""",
+)
+def landing_to_bronze_query(t: Tables):
+    """Two landings, each followed by two bronze loads; the second finds nothing."""
+    land, bronze = scratch_path(t.spark, "landing"), scratch_path(t.spark, "bronze")
+    early = t.events.filter(f"ts < {_HALF}")
+    late = t.events.filter(f"ts >= {_HALF}")
+    for rows, at in ((early, datetime(2024, 1, 16)), (late, datetime(2024, 2, 1))):
+        lake.append(stamp_landing(rows.select("event_id"), "b", at, "events"), land)
+        for _ in range(2):
+            landing_to_bronze(t.spark, land, bronze)
+    return lake.read_lake(t.spark, bronze).select("event_id", "dw_ingested_at")
+
+
+@query(
+    "seed_restamp_all",
+    """select s_suppkey, timestamp '2024-05-02' as dw_ingested_at, 'b2' as dw_batch_id
+       from (select s_suppkey from supplier union all select s_suppkey from supplier where s_acctbal < 0)""",
+)
+def seed_restamp_all(t: Tables):
+    path = scratch_path(t.spark, "seed")
+    seed = t.supplier.select("s_suppkey")
+    seed_table(t.spark, seed, path, "b1", "supplier", AT)
+    again = t.supplier.filter("s_acctbal < 0").select("s_suppkey")
+    seed_table(t.spark, again, path, "b2", "supplier", datetime(2024, 5, 2), restamp="all")
+    return lake.read_lake(t.spark, path).select("s_suppkey", "dw_ingested_at", "dw_batch_id")
+
+
+@query(
+    "changed_files",
+    "select c_custkey, c_name from customer where c_acctbal >= 0",
+)
+def changed_files(t: Tables):
+    """Files written after the watermark of the first read."""
+    path, columns = scratch_path(t.spark, "drops"), ["c_custkey", "c_name"]
+    schema = "c_custkey bigint, c_name string"
+
+    def drop(rows, folder):
+        rows.select(*columns).write.option("header", True).csv(f"{path}/{folder}")
+
+    drop(t.customer.filter("c_acctbal < 0"), "day1")
+    mark = files.changed_files(t.spark, f"{path}/*", schema).agg(F.max("changed_at")).first()[0]
+    drop(t.customer.filter("c_acctbal >= 0"), "day2")
+    return files.changed_files(t.spark, f"{path}/*", schema, mark).select(*columns)
+
+
+@query(
+    "csv_set_discovery",
+    """select p_name as description, p_type as kind from part
+       union all select c_name, c_mktsegment from customer union all select n_name, null from nation""",
+)
+def csv_set_discovery(t: Tables):
+    """Four CSV sets with unlike headers, one without a description."""
+    root = scratch_path(t.spark, "csv-set")
+    sets = {
+        "parts": t.part.select("p_size", F.col("p_name").alias("Ticket Description"), F.col("p_type").alias("Type")),
+        "customers": t.customer.select(F.col("c_mktsegment").alias("category"), F.col("c_name").alias("description")),
+        "nations": t.nation.select(F.col("n_name").alias("DESCRIPTION"), "n_regionkey"),
+        "regions": t.region,
+    }
+    for name, rows in sets.items():
+        rows.write.option("header", True).csv(f"{root}/{name}")
+    return files.ticket_texts(files.read_csv_set(t.spark, [f"{root}/{name}" for name in sets]))
+
+
+def _drop_csv(rows, folder: str) -> None:
+    rows.write.mode("append").option("header", True).csv(folder)
+
+
+@query(
+    "landing_stream",
+    """select c_custkey, c_name, c_acctbal, c_nationkey, case when c_acctbal < 0 then 'run1' else 'run2' end as dw_batch_id,
+       case when c_acctbal >= 0 then c_mktsegment end as c_mktsegment from customer""",
+)
+def landing_stream(t: Tables):
+    """Two CSV drops, the second with one column more and every row twice; a
+    third run finds nothing."""
+    drop = landing.Drop.below(scratch_path(t.spark, "lake"), "users")
+    narrow = ["c_custkey", "c_name", "c_acctbal", "c_nationkey"]
+    _drop_csv(t.customer.filter("c_acctbal < 0").select(*narrow), f"{drop.source}/d1")
+    landing.land_all(t.spark, [drop], "run1", AT)
+    rest = t.customer.filter("c_acctbal >= 0").select(*narrow, "c_mktsegment")
+    _drop_csv(rest.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy"), f"{drop.source}/d2")
+    landing.land_all(t.spark, [drop], "run2", AT)
+    landing.land_all(t.spark, [drop], "run3", AT)
+    return landing.read_landing(t.spark, drop).select(*narrow, "c_mktsegment", "dw_batch_id")
+
+
+@query(
+    "landing_stream_with_copies",
+    "select s_suppkey, s_name from supplier union all select s_suppkey, s_name from supplier",
+)
+def landing_stream_with_copies(t: Tables):
+    drop = landing.Drop.below(scratch_path(t.spark, "lake"), "payments")
+    for folder in ("d1", "d2"):
+        _drop_csv(t.supplier.select("s_suppkey", "s_name"), f"{drop.source}/{folder}")
+    landing.land_all(t.spark, [drop], "run1", AT, copies=True)
+    return landing.read_landing(t.spark, drop).select("s_suppkey", "s_name")
+
+
+@query("stream_dedup", "select event_id, ts, user_id, event_type, value from events")
+def stream_dedup(t: Tables):
+    """Every event arrives twice, the second time in a later run."""
+    root, columns = scratch_path(t.spark, "stream"), ["event_id", "ts", "user_id", "event_type", "value"]
+    events = t.events.select(*columns).withColumn("ts", F.col("ts").cast("timestamp"))
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{root}/in")
+        stream = t.spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        once = landing.first_copies(stream, ["event_id"], "ts", "60 days")
+        landing.to_table(once, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return t.spark.read.schema(events.schema).parquet(f"{root}/out")
+
+
+@query(
+    "json_stream",
+    "select user_id, event_type, value, cast(json_extract_string(props, '$.k') as bigint) as k from events",
+)
+def json_stream(t: Tables):
+    root = scratch_path(t.spark, "json")
+    document = F.struct("user_id", "event_type", "value", F.from_json("props", "k bigint").k.alias("k"))
+    t.events.select(F.to_json(document)).write.text(f"{root}/in")
+    schema = "user_id bigint, event_type string, value double, k bigint"
+    parsed = parse_json(landing.json_stream(t.spark, f"{root}/in"), "data", schema)
+    landing.to_table(parsed, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return t.spark.read.schema(schema).parquet(f"{root}/out")
+
+
+@query(
+    "foreach_batch_upsert",
+    """select o_custkey, o_orderkey, o_totalprice, o_orderdate from (select *, row_number() over (
+       partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from orders) where rn = 1""",
+)
+def foreach_batch_upsert(t: Tables):
+    """Newest order per customer, upserted run by run.
+
+    Orders of one customer and day would tie, so the stamp holds the key too.
+    """
+    root = scratch_path(t.spark, "stream-upsert")
+    columns = ["o_custkey", "o_orderkey", "o_totalprice", "o_orderdate"]
+    stamp = F.struct(F.col("o_orderdate").alias("at"), F.col("o_orderkey").alias("id"))
+    orders = t.orders.select(*columns).withColumn("stamp", stamp)
+    for load in ("o_totalprice < 150000", "o_totalprice >= 150000"):
+        orders.filter(load).write.mode("append").parquet(f"{root}/in")
+        stream = t.spark.readStream.schema(orders.schema).parquet(f"{root}/in")
+        landing.upsert_stream(
+            stream, f"{root}/out", f"{root}/checkpoint", ["o_custkey"], ["stamp"], "stamp", buckets=4
+        ).awaitTermination()
+    return lake.read_lake(t.spark, f"{root}/out").select(*columns)
+
+
+@query("publish_subscriptions", curated._batch_sql("subscriptions"))
+def publish_subscriptions(t: Tables):
+    """Audit, upsert and quarantine written out, the batch published twice."""
+    root = scratch_path(t.spark, "publish")
+    for _ in range(2):
+        publish(
+            t.spark,
+            SUBSCRIPTIONS,
+            curated.raw_rows(t, "subscriptions"),
+            curated.context(t, "subscriptions"),
+            f"{root}/silver",
+            f"{root}/quarantine",
+            "b1",
+            buckets=4,
+        )
+    return lake.read_lake(t.spark, f"{root}/silver").drop(BUCKET)

@@ -1 +1,101 @@
-"""Queries."""
+"""Recurring-revenue metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewell.catalogue.base import Tables, query
+from tidewell.operators import metrics as m
+
+_SUBSCRIPTIONS = """select o_orderkey as subscription_id, o_custkey as user_id, o_orderpriority as tier,
+  case o_orderstatus when 'F' then 'cancelled' when 'O' then 'active' else 'trial' end as status,
+  cast(floor(o_totalprice) / 100 as decimal(10,2)) as current_mrr, cast(o_orderdate as date) as start_date,
+  case when o_orderstatus = 'F' then cast(o_orderdate + DAYS(o_custkey % 200) as date) end as end_date from {orders}"""
+
+
+@query("mrr", f"select sum(current_mrr)::double as mrr from ({_SUBSCRIPTIONS}) where status = 'active'")
+def mrr(t: Tables):
+    return m.recurring_revenue(t.sql(_SUBSCRIPTIONS)).select("mrr")
+
+
+@query(
+    "arr",
+    f"""select tier, (12 * sum(current_mrr))::double as arr, sum(current_mrr)::double as mrr,
+        count(*) as active_subscriptions from ({_SUBSCRIPTIONS}) where status = 'active' group by tier""",
+)
+def arr(t: Tables):
+    return m.recurring_revenue(t.sql(_SUBSCRIPTIONS), ["tier"])
+
+
+_MONTHS = f"""with s as ({_SUBSCRIPTIONS}),
+months as (select date_trunc('month', start_date)::date as month from s
+  union select date_trunc('month', end_date)::date from s where end_date is not null),
+running as (select month, (select count(*) from s where start_date < month and (end_date is null or end_date >= month))
+    as active_at_start,
+  (select count(*) from s where date_trunc('month', end_date) = month and start_date < month) as churned from months)
+select month::varchar as month, active_at_start, churned,
+  case when active_at_start > 0 then churned / active_at_start end as churn_rate,
+  case when active_at_start > 0 then 1 - churned / active_at_start end as retention_rate from running"""
+
+
+@query("churn_rate", f"select month, active_at_start, churned, churn_rate from ({_MONTHS})")
+def churn_rate(t: Tables):
+    return m.churn_by_month(t.sql(_SUBSCRIPTIONS)).drop("retention_rate")
+
+
+@query("retention", f"select month, retention_rate from ({_MONTHS})")
+def retention(t: Tables):
+    return m.churn_by_month(t.sql(_SUBSCRIPTIONS)).select("month", "retention_rate")
+
+
+@query(
+    "ltv",
+    f"""select arpu, arpu / 0.05::double as ltv from (select sum(current_mrr)::double / count(distinct user_id) as arpu
+        from ({_SUBSCRIPTIONS}) where status = 'active')""",
+)
+def ltv(t: Tables):
+    return m.lifetime_value(t.sql(_SUBSCRIPTIONS), 0.05)
+
+
+_PAID = """select o_orderkey as subscription_id, o_custkey as user_id, cast(o_totalprice as decimal(10,2)) as amount,
+  o_orderdate as payment_date, case o_orderstatus when 'F' then 'failed' else 'success' end as payment_status from {orders}"""
+
+
+@query(
+    "nrr",
+    f"""with u as (select user_id, date_trunc('month', payment_date)::date as month, sum(amount) as mrr
+          from ({_PAID}) group by 1, 2)
+        select (b.month + interval 1 month)::date::varchar as month, sum(b.mrr)::double as starting_mrr,
+          coalesce(sum(n.mrr), 0)::double as retained_mrr, count(*) as cohort_users, count(n.user_id) as retained_users,
+          coalesce(sum(n.mrr), 0)::double / sum(b.mrr)::double as nrr
+        from u b left join u n on n.user_id = b.user_id and n.month = b.month + interval 1 month group by 1""",
+)
+def nrr(t: Tables):
+    return m.net_retention(m.monthly_user_revenue(t.sql(_PAID), "user_id", "amount", "payment_date"))
+
+
+_REVENUE = f"""select date_trunc('month', payment_date)::date as month, sum(amount)::double as revenue,
+  count(distinct subscription_id) as subscribers from ({_PAID}) where payment_status = 'success' group by 1"""
+
+
+def _monthly(t: Tables):
+    return m.revenue(t.sql(_PAID), [F.trunc("payment_date", "month").alias("month")])
+
+
+@query("revenue", f"select month::varchar as month, revenue, subscribers from ({_REVENUE})")
+def revenue(t: Tables):
+    return _monthly(t)
+
+
+@query(
+    "revenue_trend",
+    f"""select round(slope, 4) as slope, round(next_value, 2) as next_value, months from (
+        select regr_slope(revenue, x) as slope, count(*) as months,
+          regr_intercept(revenue, x) + regr_slope(revenue, x) * (max(x) + 1) as next_value
+        from (select revenue, (year(month) * 12 + month(month))::double as x from ({_REVENUE})))""",
+)
+def revenue_trend(t: Tables):
+    line = m.revenue_trend(_monthly(t))
+    return line.select(
+        F.round("slope", 4).alias("slope"), F.round("next_value", 2).alias("next_value"), "months"
+    )

@@ -79,7 +79,13 @@ def ticket_texts(frames: Sequence[DataFrame]) -> DataFrame:
     return union_all(found)
 
 
-def read_csv_set(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
-    """One frame per path, all text; unreadable files give no rows."""
-    reader = spark.read.option("header", True).option("multiLine", True)
+def read_csv_set(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool = False
+) -> list[DataFrame]:
+    """One frame per path, all text; unreadable files give no rows.
+
+    ``multi_line`` allows line breaks inside values, at the price that a file
+    is read by one task.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
     return [reader.option("ignoreCorruptFiles", True).csv(p) for p in paths]
