@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidewell.catalogue.base import Tables, query
 from tidewell.operators import metrics as m
+from tidewell.operators import models
 
 _SUBSCRIPTIONS = """select o_orderkey as subscription_id, o_custkey as user_id, o_orderpriority as tier,
   case o_orderstatus when 'F' then 'cancelled' when 'O' then 'active' else 'trial' end as status,
@@ -99,3 +100,31 @@ def revenue_trend(t: Tables):
     return line.select(
         F.round("slope", 4).alias("slope"), F.round("next_value", 2).alias("next_value"), "months"
     )
+
+
+def _customer_features(t: Tables):
+    """One row per customer, from orders aggregated before the join."""
+    orders = t.orders.groupBy("o_custkey").agg(
+        F.count("*").alias("orders"),
+        F.avg("o_totalprice").alias("mean_price"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("finished"),
+    )
+    return t.customer.join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+        "c_custkey",
+        "orders",
+        "mean_price",
+        "c_acctbal",
+        (F.col("finished") > F.col("orders") / 3).cast("double").alias("has_left"),
+    )
+
+
+@query("churn_scores")
+def churn_scores(t: Tables):
+    customers = _customer_features(t)
+    model = models.fit_churn(customers, ["orders", "mean_price", "c_acctbal"], "has_left")
+    return models.churn_scores(model, customers)
+
+
+@query("customer_segments")
+def customer_segments(t: Tables):
+    return models.segments(_customer_features(t), ["orders", "mean_price", "c_acctbal"], 4)

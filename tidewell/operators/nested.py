@@ -26,10 +26,11 @@ def parse_json(df: DataFrame, column: str, schema: str | StructType) -> DataFram
     """Replace a JSON text column by the fields of its documents.
 
     Malformed text gives null fields; fields outside the schema are ignored.
+    The fields come out of a generator: later conditions on them are not pushed
+    below it, where they would parse every document a second time.
     """
-    parsed = df.withColumn("__parsed", F.from_json(F.col(column), schema))
     kept = [F.col(c) for c in df.columns if c != column]
-    return parsed.select(*kept, "__parsed.*")
+    return df.select(*kept, F.inline_outer(F.array(F.from_json(F.col(column), schema))))
 
 
 def infer_json_schema(df: DataFrame, column: str) -> str:

@@ -36,7 +36,9 @@ def build_session(
         **RUNTIME_SETTINGS,
         "spark.ui.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
-        "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+        # Building plans of many columns is several times faster without the
+        # call site of every expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**fixed, **(settings or {})}.items():
         builder = builder.config(key, value)
