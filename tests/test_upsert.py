@@ -114,6 +114,15 @@ def test_stored_table_rewrites_touched_buckets_only(spark, tmp_path):
     assert spark.read.parquet(path).count() == 50
 
 
+def test_table_may_start_empty(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    batch = spark.createDataFrame(BATCH[:3], SCHEMA)
+    u.upsert_path(spark, path, batch.limit(0), ["k"], "t", buckets=4)
+    assert u.read_lake(spark, path).count() == 0
+    u.upsert_path(spark, path, batch, ["k"], "t", buckets=4)
+    assert rows(u.read_lake(spark, path), "k", "v") == [(1, "older"), (2, "equal"), (3, "newer")]
+
+
 def test_merge_into_needs_a_row_level_catalog(spark):
     spark.createDataFrame(TARGET, SCHEMA).write.mode("overwrite").saveAsTable("merge_target")
     with pytest.raises(Exception, match="MERGE"):

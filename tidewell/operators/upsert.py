@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import latest
 from tidewell.session import estimated_bytes, settle
-from tidewell.sources.lake import path_exists, read_lake
+from tidewell.sources.lake import SCHEMA_FOLDER, path_exists, read_lake, store_schema
 
 BUCKET = "merge_bucket"
 
@@ -117,6 +117,7 @@ def upsert_path(
     """
     rows = with_bucket(batch, keys, buckets)
     if not path_exists(spark, path):
+        store_schema(spark, f"{path}/{SCHEMA_FOLDER}", rows.schema)
         _write_buckets(rows, path)
         return
     rows = settle(rows, "upsert-batch")

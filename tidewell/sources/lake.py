@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -12,8 +15,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+_STORED = "version int, body string"
+
+
+def load_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The newest schema stored at a path."""
+    if not path_exists(spark, path):
+        return None
+    newest = spark.read.schema(_STORED).json(path).agg(F.max_by("body", "version")).first()[0]
+    return None if newest is None else StructType.fromJson(json.loads(newest))
+
+
+def store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Store a schema as the newest version; its size is its version."""
+    row = [(len(schema.fields), schema.json())]
+    spark.createDataFrame(row, _STORED).write.mode("append").json(path)
+
+
+# Beside the data of a table that may hold no rows yet; Spark skips the name.
+SCHEMA_FOLDER = "_schema"
+
+
 def read_lake(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
-    """Read a table; ``evolving`` unites the schemas of all its files."""
+    """Read a table; ``evolving`` unites the schemas of all its files.
+
+    A schema stored with the table is used as it is, without opening files.
+    """
+    stored = load_schema(spark, f"{path}/{SCHEMA_FOLDER}")
+    if stored is not None:
+        return spark.read.schema(stored).parquet(path)
     return spark.read.option("mergeSchema", evolving).parquet(path)
 
 

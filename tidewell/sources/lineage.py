@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.casting import lenient
+
 TECHNICAL = ["id", "source_identifier", "batch_id"]
 
 
@@ -56,9 +58,9 @@ def canonical_lineage(df: DataFrame) -> DataFrame:
     dtypes = {"ingest_time": "timestamp"}
     found = {}
     for name, sources in CANONICAL.items():
-        present = [F.col(s) for s in sources if s in df.columns]
-        value = F.coalesce(*present) if present else F.lit(None)
-        found[name] = value.cast(dtypes.get(name, "string"))
+        dtype = dtypes.get(name, "string")
+        present = [lenient(s, dtype) for s in sources if s in df.columns]
+        found[name] = F.coalesce(*present) if present else F.lit(None).cast(dtype)
     aliases = {s for sources in CANONICAL.values() for s in sources} - set(CANONICAL)
     return df.withColumns(found).drop(*aliases)
 

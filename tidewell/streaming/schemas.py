@@ -7,7 +7,6 @@ being read into the wrong columns.
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict
 from collections.abc import Sequence
 
@@ -15,24 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewell.sources.lake import path_exists
-
-_STORED = "version int, body string"
-
-
-def load_schema(spark: SparkSession, path: str) -> StructType | None:
-    """The newest schema stored at a path."""
-    if not path_exists(spark, path):
-        return None
-    newest = spark.read.schema(_STORED).json(path).agg(F.max_by("body", "version")).first()[0]
-    return None if newest is None else StructType.fromJson(json.loads(newest))
-
-
-def store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Store a schema as the newest version; its size is its version."""
-    row = [(len(schema.fields), schema.json())]
-    spark.createDataFrame(row, _STORED).write.mode("append").json(path)
-
+from tidewell.sources.lake import load_schema, store_schema
 
 def widened(known: StructType | None, found: StructType) -> StructType:
     """Known fields with their types, then the new ones."""
