@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidewell.plans.entities import ENTITIES, users_plan
+from tidewell.plans.entities import ENTITIES, strict, users_plan
 from tidewell.plans.steps import Context
 
 D1, D2, D3 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
@@ -294,3 +294,27 @@ def test_event_values(spark):
     assert (event.event_properties_duration_sec, event.event_properties_referrer) == (10, "ads")
     assert str(event.event_at) == "2024-01-01 10:00:00" and event.created_at == "c"
     assert str(event.created_at_event) == D1
+
+
+STRICT = {
+    "products": ([dict(), dict(product_id="2", category="Toys")], ["invalid category"]),
+    "users": ([dict(), dict(user_id="2", email="nobody"), dict(user_id="3", email=None), dict(user_id="4", email="a@b.c d")],
+              ["invalid email"] * 3),
+    "subscriptions": ([dict(), dict(subscription_id="2", plan_id="9")], ["plan_id not found in silver plans"]),
+    "subscription_changes": ([dict(), dict(change_id="2", subscription_id="9")],
+                             ["subscription_id not found in silver subscriptions"]),
+    "support_tickets": ([dict(), dict(ticket_id="2", description=" N/A"), dict(ticket_id="3", description=None)],
+                        ["meaningless description"] * 2),
+}
+
+
+@pytest.mark.parametrize("name", list(STRICT))
+def test_optional_checks(spark, name):
+    changes, expected = STRICT[name]
+    refs = {"users": USERS, "subscriptions": SUBSCRIPTIONS, "plans": ("plan_id", [1, 2])}
+    case = Case(CASES[name].base, [("", c) for c in changes], refs)
+    plan, context = strict(name), case.context(spark)
+    audited = plan.audited(case.raw(spark), context)
+    assert sorted(r.reason for r in plan.rejected_rows(audited).collect()) == expected
+    assert plan.curated(case.raw(spark), context).count() == len(changes) - len(expected)
+    assert ENTITIES[name].curated(case.raw(spark), context).count() == len(changes)

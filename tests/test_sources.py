@@ -69,6 +69,19 @@ def test_landing_to_bronze(spark, tmp_path):
     assert jobs.landing_to_bronze(spark, landing, bronze) is True
     table = lake.read_lake(spark, bronze, evolving=True)
     assert table.count() == 5 and table.filter("extra = 'x'").count() == 2
+    assert sorted(p.name for p in (tmp_path / "bronze").glob("dw_ingest_day=*")) == [
+        "dw_ingest_day=2024-01-01", "dw_ingest_day=2024-01-02",
+    ]
+    assert "dw_ingest_day" not in lineage.canonical_lineage(table).columns
+
+
+def test_bronze_without_day_folders_stays_so(spark, tmp_path):
+    landing, bronze = f"{tmp_path}/landing", f"{tmp_path}/bronze"
+    lake.append(lineage.stamp_landing(spark.range(3), "b1", T[0], "f"), bronze)
+    lake.append(lineage.stamp_landing(spark.range(3), "b2", T[1], "f"), landing)
+    assert jobs.landing_to_bronze(spark, landing, bronze) is True
+    assert jobs.landing_to_bronze(spark, landing, bronze) is False
+    assert lake.read_lake(spark, bronze).count() == 6
 
 
 def test_one_failure_does_not_stop_the_others(spark):

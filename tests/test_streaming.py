@@ -48,6 +48,8 @@ def test_schema_grows_at_its_end_only(spark, tmp_path):
     assert second.simpleString() == "struct<id:int,name:string,price:double>"
     assert schemas.load_schema(spark, store) == second
     assert schemas.current_schema(spark, str(source), store) == second
+    layouts, _ = schemas.files_by_header(spark, str(source), datetime(2100, 1, 1))
+    assert layouts == {}, "files already seen are not read again"
     write(source, "c.csv", "id,age,name,price\n3,4,z,2\n")
     with pytest.raises(ValueError, match="do not continue"):
         schemas.current_schema(spark, str(source), store)
@@ -56,7 +58,7 @@ def test_schema_grows_at_its_end_only(spark, tmp_path):
 def test_schema_needs_files(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(Exception):
-        schemas.infer_schema(spark, str(tmp_path / "empty"))
+        schemas.current_schema(spark, str(tmp_path / "empty"), f"{tmp_path}/store")
     assert schemas.load_schema(spark, f"{tmp_path}/none") is None
 
 

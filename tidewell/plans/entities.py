@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.derived import EMAIL_SHAPE, EVENT_TYPES, PRODUCT_CATEGORIES
 from tidewell.functions.subscription import (
     TIERS,
     USD_RATES,
@@ -14,7 +15,7 @@ from tidewell.functions.subscription import (
     exchange_rate,
     has_churned,
 )
-from tidewell.functions.text import domain_or_other, lowered, titled, trimmed, uppered
+from tidewell.functions.text import MEANINGLESS, domain_or_other, lowered, titled, trimmed, uppered
 from tidewell.operators.nested import flatten_structs, parse_json
 from tidewell.operators.quality import (
     Rule,
@@ -502,3 +503,38 @@ ENTITIES = {
         LICENSE_ALLOCATIONS, SUPPORT_TICKETS, USAGE_EVENTS,
     )
 }
+
+# Checks that are documented for the entities but not part of them: off unless
+# asked for with ``strict``.
+_EMAIL = Rule("email_shape", f"email rlike '{EMAIL_SHAPE}'".replace("\\", "\\\\"), "invalid email")
+_WORDS = Rule(
+    "description_meaning",
+    "lower(trim(description)) not in (" + ", ".join(f"'{text}'" for text in MEANINGLESS) + ")",
+    "meaningless description",
+)
+OPTIONAL = {
+    "products": [Check([one_of("category", PRODUCT_CATEGORIES)])],
+    "users": [Check([_EMAIL])],
+    "subscriptions": [
+        References([Reference("plans", {"plan_id": "plan_id"}, "plan_id not found in silver plans", unique=True)])
+    ],
+    "subscription_changes": [
+        References(
+            [
+                Reference(
+                    "subscriptions",
+                    {"subscription_id": "subscription_id"},
+                    "subscription_id not found in silver subscriptions",
+                    unique=True,
+                )
+            ]
+        )
+    ],
+    "support_tickets": [Check([_WORDS])],
+    "usage_events": [Check([one_of("event_type", EVENT_TYPES)])],
+}
+
+
+def strict(name: str) -> EntityPlan:
+    """An entity with its optional checks."""
+    return ENTITIES[name].also(*OPTIONAL.get(name, ()))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -40,6 +40,10 @@ class EntityPlan:
         others = [c for c in df.columns if c not in known and c != FAILED]
         return df.select(*self.columns, *others)
 
+    def also(self, *steps: Any) -> EntityPlan:
+        """The plan with further steps at its end."""
+        return replace(self, steps=[*self.steps, *steps])
+
     def curated(self, raw: DataFrame, context: Context) -> DataFrame:
         """Rows that pass every step."""
         rows = raw

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewell.operators.upsert import BUCKET, upsert_path
 from tidewell.plans.entities import ENTITIES
@@ -23,7 +24,7 @@ from tidewell.sources.lake import (
     read_lake,
     read_or_none,
 )
-from tidewell.sources.lineage import canonical_lineage, stamp_bronze, stamp_landing
+from tidewell.sources.lineage import INGEST_DAY, canonical_lineage, stamp_bronze, stamp_landing
 from tidewell.sources.watermark import EPOCH, high_watermark, rows_after, rows_to_copy
 
 log = logging.getLogger(__name__)
@@ -55,13 +56,29 @@ def outcome_table(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame
     return spark.createDataFrame(rows, "entity string, status string, detail string")
 
 
+def _bronze_watermark(spark: SparkSession, bronze: str, watermark: str):
+    table = read_or_none(spark, bronze, evolving=True)
+    by_day = table is not None and INGEST_DAY in table.columns
+    return high_watermark(table, watermark, within=INGEST_DAY if by_day else None)
+
+
+def _append_bronze(spark: SparkSession, rows: DataFrame, bronze: str, watermark: str) -> bool:
+    """Append in folders per ingest day, so that the next run finds its watermark
+    in the last folder alone.  A table kept without such folders stays so."""
+    table = read_or_none(spark, bronze, evolving=True)
+    if table is not None and INGEST_DAY not in table.columns:
+        return append_unless_empty(rows, bronze)
+    dated = rows.withColumn(INGEST_DAY, F.to_date(watermark))
+    return append_unless_empty(dated, bronze, by=[INGEST_DAY])
+
+
 def landing_to_bronze(
     spark: SparkSession, landing: str, bronze: str, watermark: str = "dw_ingested_at"
 ) -> bool:
     """Append the landing rows past the bronze watermark; False if there are none."""
-    mark = high_watermark(read_or_none(spark, bronze, evolving=True), watermark)
+    mark = _bronze_watermark(spark, bronze, watermark)
     fresh = rows_after(read_lake(spark, landing, evolving=True), watermark, mark)
-    return append_unless_empty(fresh, bronze)
+    return _append_bronze(spark, fresh, bronze, watermark)
 
 
 def jdbc_to_bronze(
@@ -75,9 +92,9 @@ def jdbc_to_bronze(
     at: datetime | None = None,
 ) -> bool:
     """Append the database rows past the bronze watermark, stamped."""
-    mark = high_watermark(read_or_none(spark, bronze, evolving=True), watermark)
+    mark = _bronze_watermark(spark, bronze, watermark)
     fresh = jdbc.read_after(spark, connection, table, watermark, mark, slices)
-    return append_unless_empty(stamp_bronze(fresh, batch_id, table, at), bronze)
+    return _append_bronze(spark, stamp_bronze(fresh, batch_id, table, at), bronze, watermark)
 
 
 def copy_table(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,20 +52,23 @@ def read_or_none(spark: SparkSession, path: str, evolving: bool = False) -> Data
     return read_lake(spark, path, evolving) if path_exists(spark, path) else None
 
 
-def append(df: DataFrame, path: str) -> None:
-    """Append; new columns are allowed and found by an ``evolving`` read."""
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
+    """Append, in folders per value of ``by``; new columns are allowed and found
+    by an ``evolving`` read."""
+    if by:
+        df = df.hint("rebalance", *by)
+    df.write.mode("append").partitionBy(*by).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_unless_empty(df: DataFrame, path: str) -> bool:
+def append_unless_empty(df: DataFrame, path: str, by: Sequence[str] = ()) -> bool:
     """Append and say whether there was anything to write."""
     if df.isEmpty():
         return False
-    append(df, path)
+    append(df, path, by)
     return True
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.casting import lenient
 
+# Partition column of bronze tables.
+INGEST_DAY = "dw_ingest_day"
+
 TECHNICAL = ["id", "source_identifier", "batch_id"]
 
 
@@ -62,7 +65,7 @@ def canonical_lineage(df: DataFrame) -> DataFrame:
         present = [lenient(s, dtype) for s in sources if s in df.columns]
         found[name] = F.coalesce(*present) if present else F.lit(None).cast(dtype)
     aliases = {s for sources in CANONICAL.values() for s in sources} - set(CANONICAL)
-    return df.withColumns(found).drop(*aliases)
+    return df.withColumns(found).drop(*aliases, INGEST_DAY)
 
 
 def drop_technical(df: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidewell.sources.lake import load_schema, store_schema
+from tidewell.sources.lake import load_schema, path_exists, store_schema
 
 def widened(known: StructType | None, found: StructType) -> StructType:
     """Known fields with their types, then the new ones."""
@@ -26,35 +27,38 @@ def widened(known: StructType | None, found: StructType) -> StructType:
     return StructType([*known.fields, *found.fields[len(known.fields):]])
 
 
-def files_by_header(spark: SparkSession, source: str, pattern: str = "*") -> dict[str, list[str]]:
-    """Header line -> the files that have it.
+def files_by_header(
+    spark: SparkSession, source: str, after: datetime | None = None
+) -> tuple[dict[str, list[str]], datetime | None]:
+    """Header line -> the files that have it, and when the last one was changed.
 
     The first line of a file is read by the task that reads its first block, in
     order, so the partial aggregate keeps one short row per file.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .text(source)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .filter("file_block_start = 0")
+    reader = spark.read.option("recursiveFileLookup", True)
+    if after is not None:
+        # The option has no fractions of a second: the last files come again.
+        reader = reader.option("modifiedAfter", (after - timedelta(seconds=1)).strftime("%Y-%m-%dT%H:%M:%S"))
+    about = ["_metadata.file_path", "_metadata.file_block_start", "_metadata.file_modification_time"]
+    lines = reader.text(source).select("value", *about).filter("file_block_start = 0")
+    headers = lines.groupBy("file_path").agg(
+        F.first("value").alias("header"), F.max("file_modification_time").alias("changed_at")
     )
-    headers = lines.groupBy("file_path").agg(F.first("value").alias("header"))
-    found = defaultdict(list)
+    found, newest = defaultdict(list), after
     for row in headers.toLocalIterator():
         found[row.header].append(row.file_path)
-    return dict(found)
+        newest = max(newest or row.changed_at, row.changed_at)
+    return dict(found), newest
 
 
 def infer_schema(
-    spark: SparkSession, source: str, known: StructType | None = None
+    spark: SparkSession, layouts: dict[str, list[str]], known: StructType | None = None
 ) -> StructType:
-    """The schema of all CSV files below a folder, continuing the known one.
+    """The schema of CSV files grouped by header, continuing the known one.
 
     Types are found from all rows of the files that share a header, never from
     a sample.  Files whose columns are all known are not inferred again.
     """
-    layouts = files_by_header(spark, source)
     schema = known
     for header, files in sorted(layouts.items(), key=lambda item: item[0].count(",")):
         names = _names(spark, files[0])
@@ -63,7 +67,7 @@ def infer_schema(
         reader = spark.read.option("header", True).option("inferSchema", True)
         schema = widened(schema, reader.csv(files).schema)
     if schema is None:
-        raise ValueError(f"no CSV files in {source}")
+        raise ValueError("no CSV files to take a schema from")
     return schema
 
 
@@ -72,9 +76,19 @@ def _names(spark: SparkSession, file: str) -> Sequence[str]:
 
 
 def current_schema(spark: SparkSession, source: str, store: str) -> StructType:
-    """The stored schema widened by the files present, stored again if it grew."""
+    """The stored schema widened by the files that came since it was stored."""
+    seen = f"{store}/_seen"
+    marks = "seen_until timestamp"
+    until = None
+    if path_exists(spark, seen):
+        until = spark.read.schema(marks).json(seen).agg(F.max("seen_until")).first()[0]
     known = load_schema(spark, store)
-    schema = infer_schema(spark, source, known)
+    layouts, newest = files_by_header(spark, source, until)
+    if not layouts and known is not None:
+        return known
+    schema = infer_schema(spark, layouts, known)
     if schema != known:
         store_schema(spark, store, schema)
+    if newest != until:
+        spark.createDataFrame([(newest,)], marks).write.mode("append").json(seen)
     return schema
