@@ -34,6 +34,52 @@ def test_jdbc_options():
     assert "createTableColumnTypes" not in jdbc.write_options(connection, "t")
 
 
+@pytest.fixture
+def database(spark, monkeypatch):
+    """Tables by name in place of a database: the reader answers the queries the
+    jobs send, the writer appends."""
+    tables = {}
+
+    def read(session, connection, text, slices=None):
+        name = next(n for n in sorted(tables, key=len, reverse=True) if f" {n}" in text or text == n)
+        if text == name:
+            return tables[name]
+        tables[name].createOrReplaceTempView(name)
+        inner = text[1:].rsplit(")", 1)[0]
+        return session.sql(inner)
+
+    def write(df, connection, name, **options):
+        held = tables.get(name)
+        written = spark.createDataFrame(df.collect(), df.schema)
+        tables[name] = written if held is None else held.unionByName(written, allowMissingColumns=True)
+
+    monkeypatch.setattr(jdbc, "read_table", read)
+    monkeypatch.setattr(jdbc, "append_table", write)
+    return tables
+
+
+def test_copy_table(spark, database):
+    database["licences"] = spark.createDataFrame([(1, T[0]), (2, T[1]), (3, T[1])], "id int, created_at timestamp")
+    database["copied"] = lineage.stamp_landing(database["licences"].filter("id < 3"), "b0", AT, "licences")
+    here = jdbc.Connection("jdbc:x")
+    for _ in range(2):
+        jobs.copy_table(spark, here, here, "licences", "copied", ["id"], "b1", at=AT)
+    assert rows(database["copied"], "id", "dw_batch_id") == [(1, "b0"), (2, "b0"), (3, "b1")]
+
+
+def test_jdbc_to_bronze(spark, database, tmp_path):
+    bronze = f"{tmp_path}/bronze"
+    database["plans"] = spark.createDataFrame([(1, T[0]), (2, T[1])], "id int, dw_ingested_at timestamp")
+    connection = jdbc.Connection("jdbc:x")
+    assert jobs.jdbc_to_bronze(spark, connection, "plans", bronze, "b1", at=AT) is True
+    assert jobs.jdbc_to_bronze(spark, connection, "plans", bronze, "b2", at=AT) is False
+    more = spark.createDataFrame([(3, T[2])], "id int, dw_ingested_at timestamp")
+    database["plans"] = database["plans"].unionAll(more)
+    assert jobs.jdbc_to_bronze(spark, connection, "plans", bronze, "b3", at=AT) is True
+    table = lake.read_lake(spark, bronze, evolving=True)
+    assert rows(table, "id", "batch_id", "source_table") == [(1, "b1", "plans"), (2, "b1", "plans"), (3, "b3", "plans")]
+
+
 def test_watermark(spark):
     df = spark.createDataFrame([(1, T[0]), (2, T[2]), (3, None)], "id int, w timestamp")
     assert watermark.high_watermark(None, "w") is None

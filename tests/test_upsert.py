@@ -14,40 +14,37 @@ BATCH = [(1, "older", T[1]), (2, "equal", T[2]), (3, "newer", T[3]), (4, "to-nul
          (6, "insert", T[0]), (None, "b-null", T[4])]
 
 
-@pytest.fixture(params=["lookup", "full_outer"])
-def strategy(request, monkeypatch):
-    monkeypatch.setattr(u, "is_small", lambda batch: request.param == "lookup")
+lookup = pytest.mark.parametrize("lookup", [True, False])
 
 
-def merged(spark, target, batch, newer_than="t"):
-    return rows(
-        u.merge_frames(
-            spark.createDataFrame(target, SCHEMA), spark.createDataFrame(batch, SCHEMA), ["k"], newer_than
-        ),
-        "k", "v",
-    )
+def merged(spark, target, batch, lookup, newer_than="t"):
+    target, batch = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(batch, SCHEMA)
+    return rows(u.merge_frames(target, batch, ["k"], newer_than, lookup), "k", "v")
 
 
-def test_newer_only(spark, strategy):
-    assert merged(spark, TARGET, BATCH) == sorted(
+@lookup
+def test_newer_only(spark, lookup):
+    assert merged(spark, TARGET, BATCH, lookup) == sorted(
         [(1, "t1"), (2, "t2"), (3, "newer"), (4, "t4"), (5, "t5"), (6, "insert"), (None, "t-null"), (None, "b-null")],
         key=repr,
     )
 
 
-def test_always(spark, strategy):
-    assert merged(spark, TARGET, BATCH, None) == sorted(
+@lookup
+def test_always(spark, lookup):
+    assert merged(spark, TARGET, BATCH, lookup, None) == sorted(
         [(1, "older"), (2, "equal"), (3, "newer"), (4, "to-null"), (5, "null"), (6, "insert"),
          (None, "t-null"), (None, "b-null")],
         key=repr,
     )
 
 
-def test_composite_key(spark, strategy):
+@lookup
+def test_composite_key(spark, lookup):
     schema = "a int, b int, v string, t int"
     target = spark.createDataFrame([(1, 1, "x", 1), (1, 2, "y", 1)], schema)
     batch = spark.createDataFrame([(1, 1, "new", 2), (2, 1, "add", 1)], schema)
-    out = u.merge_frames(target, batch, ["a", "b"], "t")
+    out = u.merge_frames(target, batch, ["a", "b"], "t", lookup)
     assert rows(out, "a", "b", "v") == [(1, 1, "new"), (1, 2, "y"), (2, 1, "add")]
 
 
@@ -65,17 +62,12 @@ def test_merge_properties(spark, target, batch):
         if held is None or (s is not None and held[2] is not None and s > held[2]):
             expected[k] = (k, v, s)
     for small in (True, False):
-        u.is_small, kept = (lambda _: small), u.is_small
-        try:
-            once = u.merge_frames(t, b, ["k"], "t")
-            assert rows(once) == sorted(expected.values(), key=repr)
-            assert rows(u.merge_frames(once, b, ["k"], "t")) == rows(once)
-        finally:
-            u.is_small = kept
+        once = u.merge_frames(t, b, ["k"], "t", lookup=small)
+        assert rows(once) == sorted(expected.values(), key=repr)
+        assert rows(u.merge_frames(once, b, ["k"], "t", lookup=small)) == rows(once)
 
 
-def test_large_batch_spreads_missing_keys(spark, monkeypatch):
-    monkeypatch.setattr(u, "is_small", lambda batch: False)
+def test_outer_join_spreads_missing_keys(spark):
     df = spark.createDataFrame(TARGET, SCHEMA)
     assert "__lane" in physical(u.merge_frames(df, df, ["k"])).split("Exchange")[1]
 
@@ -85,7 +77,7 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     spark.createDataFrame(BATCH, SCHEMA).write.parquet(f"{tmp_path}/b")
     target, batch = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/b")
     assert u.is_small(batch)
-    assert "hashpartitioning" not in physical(u.merge_frames(target, batch, ["k"], "t"))
+    assert "hashpartitioning" not in physical(u.merge_frames(target, batch, ["k"], "t", lookup=True))
 
 
 def test_size_limit_is_read_from_the_session(spark, conf):

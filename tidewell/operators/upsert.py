@@ -48,6 +48,7 @@ def merge_frames(
     batch: DataFrame,
     keys: Sequence[str],
     newer_than: str | None = None,
+    lookup: bool = False,
 ) -> DataFrame:
     """The target after the batch, which must hold each key once.
 
@@ -56,12 +57,13 @@ def merge_frames(
     target stay and those of the batch are inserted.  The target's columns
     decide the output.
 
-    A small batch is looked up from the target, which then is not shuffled;
-    a large one meets it in a full outer join.
+    Both sides are read once and meet in a full outer join.  ``lookup`` suits a
+    stored target with a small stored batch: the batch is read several times
+    and looked up from the target, which then is not shuffled.
     """
     columns = target.columns
     batch = batch.select(*columns)
-    if is_small(batch):
+    if lookup:
         updated = target.alias("t").join(
             batch.withColumn("__hit", F.lit(True)).alias("s"), _same_key(keys), "left"
         )
@@ -127,7 +129,7 @@ def upsert_path(
         return
     table = read_lake(spark, path)
     target = table.filter(F.col(BUCKET).isin(touched))
-    merged = merge_frames(target, rows, [*keys], newer_than)
+    merged = merge_frames(target, rows, [*keys], newer_than, lookup=is_small(rows))
     _write_buckets(settle(merged, "upsert-merged"), path)
 
 

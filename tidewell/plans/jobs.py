@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators.references import lacking_reference
 from tidewell.operators.upsert import BUCKET, upsert_path
 from tidewell.plans.entities import ENTITIES
 from tidewell.plans.entity import EntityPlan
@@ -25,7 +26,7 @@ from tidewell.sources.lake import (
     read_or_none,
 )
 from tidewell.sources.lineage import INGEST_DAY, canonical_lineage, stamp_bronze, stamp_landing
-from tidewell.sources.watermark import EPOCH, high_watermark, rows_after, rows_to_copy
+from tidewell.sources.watermark import EPOCH, high_watermark, rows_after
 
 log = logging.getLogger(__name__)
 
@@ -114,10 +115,10 @@ def copy_table(
     Rows with the stamp of the watermark are read again and those the target
     already holds are left out by key.
     """
-    held = jdbc.read_table(spark, target, target_table)
-    mark = high_watermark(held, column) or EPOCH
+    mark = jdbc.read_watermark(spark, target, target_table, column) or EPOCH
     fresh = jdbc.read_after(spark, source, table, column, mark, slices, inclusive=True)
-    missing = rows_to_copy(fresh, held, column, {k: k for k in key})
+    held = jdbc.read_after(spark, target, target_table, column, mark, inclusive=True)
+    missing = lacking_reference(fresh, held, {k: k for k in key})
     jdbc.append_table(stamp_landing(missing, batch_id, at, table), target, target_table)
 
 

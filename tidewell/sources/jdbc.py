@@ -55,6 +55,11 @@ def incremental_query(
     return f"(SELECT * FROM {table} WHERE {column} {sign} TIMESTAMP '{stamp}') t"
 
 
+def watermark_query(table: str, column: str) -> str:
+    """A subquery with which the database finds the highest value itself."""
+    return f"(SELECT MAX({column}) AS watermark FROM {table}) t"
+
+
 def read_options(
     connection: Connection, dbtable: str, slices: Slices | None = None, fetch: int = 10_000
 ) -> dict[str, str]:
@@ -81,6 +86,12 @@ def read_after(
     return read_table(spark, connection, query, slices)
 
 
+def read_watermark(
+    spark: SparkSession, connection: Connection, table: str, column: str
+) -> datetime | None:
+    return read_table(spark, connection, watermark_query(table, column)).first()[0]
+
+
 def column_types(overrides: Mapping[str, str]) -> dict[str, str]:
     """Column types for a table created on first write, as Spark SQL types.
 
