@@ -1,89 +1,51 @@
 """Numbering and neighbours without a single-task sort.
 
-All of them cut the order into lanes at quantiles of its first column.  The
-cuts are values inside the plan, so recomputed tasks agree on them, a hot key
-cannot fill a lane, and the results do not depend on where the cuts fall.
+Spark's range partitioning cuts the order into even pieces, also where one key
+or one moment holds a third of the rows.  The sorted pieces are written to the
+shared folder with their numbers, so that every later read sees the same cuts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.session import SHUFFLE_PARTITION_BYTES, estimated_bytes
+from tidewell.session import settle
 
-_LANE, _POSITION = "__lane", "__position"
-MIN_LANES, MAX_LANES = 64, 8_192
-
-
-def _as_number(df: DataFrame, column: str) -> Column:
-    dtype = dict(df.dtypes)[column]
-    if dtype.startswith("timestamp"):
-        value = F.unix_micros(F.col(column).cast("timestamp"))
-    elif dtype == "date":
-        value = F.unix_date(column)
-    else:
-        value = F.col(column)
-    return F.coalesce(value.cast("double"), F.lit(float("-inf")))
-
-
-def lane_count(df: DataFrame) -> int:
-    """Lanes that hold about one shuffle partition each."""
-    size = estimated_bytes(df) or 0
-    return max(MIN_LANES, min(MAX_LANES, size // SHUFFLE_PARTITION_BYTES))
-
-
-def with_lane(df: DataFrame, column: str, lanes: int | None = None) -> DataFrame:
-    """Add the number of the lane a value lies in, growing with the value.
-
-    Cuts need not be exact, as any cuts give the same results: an error of half
-    a lane keeps the summaries that are merged on the driver small.
-    """
-    lanes = lanes or lane_count(df)
-    placed = df.withColumn(_POSITION, _as_number(df, column))
-    cutter = QuantileDiscretizer(
-        numBuckets=lanes, inputCol=_POSITION, outputCol=_LANE, relativeError=0.5 / lanes
-    )
-    fitted = cutter.fit(placed.select(_POSITION))
-    return fitted.transform(placed).withColumn(_LANE, F.col(_LANE).cast("int")).drop(_POSITION)
+_ID, _PIECE, _OFFSET = "__id", "__piece", "__offset"
+# monotonically_increasing_id keeps the partition above this many bits.
+_PIECE_BITS = 33
 
 
 def surrogate_keys(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str = "surrogate_key",
-    start_after: int = 0,
-    lanes: int | None = None,
+    df: DataFrame, order: Sequence[str], name: str = "surrogate_key", start_after: int = 0
 ) -> DataFrame:
     """Contiguous numbers from ``start_after + 1`` in the given order.
 
-    ``order`` must identify a row; its first column must be a number, date or
-    timestamp.
+    Rows that tie in the whole order are numbered in any order among them.
     """
-    laned = with_lane(df, order[0], lanes)
-    sizes = laned.groupBy(_LANE).agg(F.count("*").alias("__n"))
-    # At most MAX_LANES rows, whatever the size of the data.
-    before = Window.orderBy(_LANE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_LANE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    inside = Window.partitionBy(_LANE).orderBy(*order)
-    numbered = laned.withColumn("__rn", F.row_number().over(inside))
+    sorted_pieces = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = settle(sorted_pieces.withColumn(_ID, F.monotonically_increasing_id()), "numbered")
+    piece = F.shiftright(_ID, _PIECE_BITS)
+    sizes = rows.groupBy(piece.alias(_PIECE)).agg(F.count("*").alias("__size"))
+    # One row per shuffle partition, whatever the size of the data.
+    before = Window.orderBy(_PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(_PIECE, F.coalesce(F.sum("__size").over(before), F.lit(0)).alias(_OFFSET))
+    inside = F.col(_ID) - F.shiftleft(F.col(_PIECE), _PIECE_BITS)
     return (
-        numbered.join(F.broadcast(offsets), _LANE)
-        .withColumn(name, F.col("__rn") + F.col("__off") + F.lit(start_after))
+        rows.withColumn(_PIECE, piece)
+        .join(F.broadcast(offsets), _PIECE)
+        .withColumn(name, F.col(_OFFSET) + inside + F.lit(start_after + 1))
         .select(*df.columns, name)
     )
 
 
 def paginate(df: DataFrame, order: Sequence[str], size: int, name: str = "page") -> DataFrame:
     """Page number of every row when read in order, ``size`` rows a page."""
-    return (
-        surrogate_keys(df, order, "__seq")
-        .withColumn(name, F.floor((F.col("__seq") - 1) / size).cast("long"))
-        .drop("__seq")
-    )
+    numbered = surrogate_keys(df, order, "__seq")
+    return numbered.withColumn(name, F.floor((F.col("__seq") - 1) / size)).drop("__seq")
 
 
 def one_page(df: DataFrame, order: Sequence[str], offset: int, size: int) -> DataFrame:
@@ -92,35 +54,22 @@ def one_page(df: DataFrame, order: Sequence[str], offset: int, size: int) -> Dat
 
 
 def previous_value(
-    df: DataFrame,
-    key: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    name: str,
-    lanes: int | None = None,
+    df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, name: str
 ) -> DataFrame:
     """The value of the row before, per key.
 
-    ``order`` must identify a row within its key and start with a number, date
-    or timestamp.  The lag is taken inside (key, lane); the first row of a lane
-    gets the last value of the key's lane before.
+    Rows are numbered by key and order; the row before is the one with the
+    number before, if it has the same key.  That join is on unique numbers, so
+    a key's rows never meet in one task.
     """
-    laned = with_lane(df, order[0], lanes)
-    inside = Window.partitionBy(*key, _LANE).orderBy(*order)
-    local = laned.withColumns(
-        {"__prev": F.lag(value).over(inside), "__first": F.row_number().over(inside) == 1}
-    )
-    tails = laned.groupBy(*key, _LANE).agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__tail")
+    rows = surrogate_keys(df, [*key, *order], "__seq")
+    before = rows.select(
+        (F.col("__seq") + 1).alias("__next"),
+        F.col(value).alias("__value"),
+        *[F.col(k).alias(f"__key_{k}") for k in key],
     )
-    # One row per key and lane, so at most MAX_LANES rows per key.
-    by_lane = Window.partitionBy(*[f"__k_{k}" for k in key]).orderBy("__k_lane")
-    carried = tails.select(
-        *[F.col(k).alias(f"__k_{k}") for k in key],
-        F.col(_LANE).alias("__k_lane"),
-        F.col("__tail.v").alias("__v"),
-    ).withColumn("__carry", F.lag("__v").over(by_lane)).drop("__v")
-    on = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in key]
-    joined = local.join(carried, [*on, F.col(_LANE) == F.col("__k_lane")], "left")
-    chosen = F.when(F.col("__first"), F.col("__carry")).otherwise(F.col("__prev"))
-    return joined.withColumn(name, chosen).select(*df.columns, name)
+    same_key = F.lit(True)
+    for k in key:
+        same_key = same_key & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    joined = rows.join(before, F.col("__seq") == F.col("__next"), "left")
+    return joined.withColumn(name, F.when(same_key, F.col("__value"))).select(*df.columns, name)

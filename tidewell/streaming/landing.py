@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -185,10 +184,3 @@ def land_all(
 def read_landing(spark: SparkSession, drop: Drop) -> DataFrame:
     rows = spark.read.option("mergeSchema", True).parquet(drop.target)
     return rows.drop("dw_load")
-
-
-def landed_days(rows: DataFrame) -> DataFrame:
-    """Rows landed per day and file."""
-    return rows.groupBy(F.to_date("dw_ingested_at").alias("day"), "dw_source_file").agg(
-        F.count("*").alias("row_count")
-    )
