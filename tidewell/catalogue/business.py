@@ -189,9 +189,9 @@ def session_rollup(t: Tables):
 
 @query(
     "derived_subscription_columns",
-    """select o_orderkey, cast(d as varchar) as start_day, year(d) as start_year, month(d) as start_month,
-       date_diff('day', d, date '2002-01-31') as subscription_tenure_days,
-       case when o_orderstatus = 'F' then month(d + 40) end as end_month, o_orderstatus = 'O' as is_active,
+    """select o_orderkey, cast(d as varchar) as start_day, year(d)::int as start_year, month(d)::int as start_month,
+       date_diff('day', d, date '2002-01-31')::int as subscription_tenure_days,
+       case when o_orderstatus = 'F' then month(d + 40)::int end as end_month, o_orderstatus = 'O' as is_active,
        o_orderstatus = 'P' as is_trial, o_orderstatus = 'F' as is_cancelled, o_totalprice > 100000 as is_paid
        from (select *, cast(o_orderdate as date) as d from orders)""",
 )
@@ -210,9 +210,9 @@ def derived_subscription_columns(t: Tables):
 
 @query(
     "derived_licence_columns",
-    """select o_orderkey, cast(d as varchar) as issued_day, year(d) as issued_year, month(d) as issued_month,
+    """select o_orderkey, cast(d as varchar) as issued_day, year(d)::int as issued_year, month(d)::int as issued_month,
        case when seats <= 25 then 'small' when seats <= 100 then 'medium' else 'large' end as seat_tier,
-       d + 365 > date '1999-01-01' as license_active_flag, date_diff('day', date '1999-01-01', d + 365) as days_to_expiry,
+       d + 365 > date '1999-01-01' as license_active_flag, date_diff('day', date '1999-01-01', d + 365)::int as days_to_expiry,
        date_trunc('month', d + 365)::date::varchar as expiry_month
        from (select *, cast(o_orderdate as date) as d, cast(floor(o_totalprice / 1000) as int) as seats from orders)""",
 )
@@ -228,8 +228,8 @@ def derived_licence_columns(t: Tables):
 
 @query(
     "derived_allocation_columns",
-    """select l_orderkey, l_partkey, cast(l_shipdate as date)::varchar as allocation_day, year(l_shipdate) as allocation_year,
-       month(l_shipdate) as allocation_month, l_linestatus = 'O' as is_active,
+    """select l_orderkey, l_partkey, cast(l_shipdate as date)::varchar as allocation_day, year(l_shipdate)::int as allocation_year,
+       month(l_shipdate)::int as allocation_month, l_linestatus = 'O' as is_active,
        case when l_linestatus = 'O' then 'assigned' else 'released' end as event_type,
        case when l_linestatus = 'O' then 1 else -1 end as seat_change from lineitem""",
 )
@@ -263,7 +263,7 @@ def derived_plan_columns(t: Tables):
 @query(
     "derived_ticket_columns",
     """select conv_id, turn, trim(regexp_replace(text, '\\s+', ' ', 'g')) as description_clean,
-       length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) as description_length from conversations""",
+       length(trim(regexp_replace(text, '\\s+', ' ', 'g')))::int as description_length from conversations""",
 )
 def derived_ticket_columns(t: Tables):
     rows = t.conversations.withColumnsRenamed({"text": "description"}).withColumn("created_at", F.current_timestamp())

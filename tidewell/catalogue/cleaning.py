@@ -171,7 +171,7 @@ def bytes_to_text(t: Tables):
     """select l_orderkey, l_linenumber, cast(ship as varchar) as ship,
        case when done is not null then cast(greatest(done, ship) as varchar) end as done_on,
        cast(coalesce(done, ship + 365) as varchar) as done_or_default,
-       greatest(date_diff('day', ship, done), 1) as days_taken
+       greatest(date_diff('day', ship, done), 1)::int as days_taken
        from (select l_orderkey, l_linenumber, cast(l_shipdate as date) as ship,
              case when l_returnflag <> 'N' then cast(l_shipdate as date) + cast(l_quantity - 20 as int) end as done
              from lineitem)""",
@@ -395,8 +395,8 @@ def meaningless_text(t: Tables):
 
 @query(
     "derived_user_columns",
-    """select c_custkey, year(c) as created_year, month(c) as created_month,
-       date_diff('day', cast(c as date), date '2024-06-30') as user_tenure_days,
+    """select c_custkey, year(c)::int as created_year, month(c)::int as created_month,
+       date_diff('day', cast(c as date), date '2024-06-30')::int as user_tenure_days,
        cast(date_diff('month', cast(c as date), date '2024-06-30')
          - case when day(c) > 30 then 1 else 0 end as int) as user_tenure_months,
        case when age < 25 then '18-24' when age < 35 then '25-34' when age < 45 then '35-44'
@@ -419,8 +419,8 @@ def derived_user_columns(t: Tables):
 
 @query(
     "derived_payment_columns",
-    """select l_orderkey, l_linenumber, l_shipdate::date::varchar as payment_date_, year(l_shipdate) as payment_year,
-       month(l_shipdate) as payment_month, l_returnflag = 'A' as is_successful, l_returnflag = 'N' as is_failed,
+    """select l_orderkey, l_linenumber, l_shipdate::date::varchar as payment_date_, year(l_shipdate)::int as payment_year,
+       month(l_shipdate)::int as payment_month, l_returnflag = 'A' as is_successful, l_returnflag = 'N' as is_failed,
        l_returnflag = 'R' as is_refunded from lineitem""",
 )
 def derived_payment_columns(t: Tables):

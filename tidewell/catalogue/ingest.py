@@ -64,7 +64,7 @@ def inclusive_copy(t: Tables):
 
 @query(
     "year_month_partition_counts",
-    """select year(o_orderdate) as year, month(o_orderdate) as month, count(*) as row_count,
+    """select year(o_orderdate)::int as year, month(o_orderdate)::int as month, count(*) as row_count,
        sum(cast(o_totalprice as decimal(18,2)))::double as total from orders group by 1, 2""",
 )
 def year_month_partition_counts(t: Tables):
@@ -166,7 +166,7 @@ def _drop_csv(rows, folder: str) -> None:
 
 @query(
     "landing_stream",
-    """select c_custkey, c_name, c_acctbal, c_nationkey, case when c_acctbal < 0 then 'run1' else 'run2' end as dw_batch_id,
+    """select c_custkey::int as c_custkey, c_name, c_acctbal, c_nationkey, case when c_acctbal < 0 then 'run1' else 'run2' end as dw_batch_id,
        case when c_acctbal >= 0 then c_mktsegment end as c_mktsegment from customer""",
 )
 def landing_stream(t: Tables):
@@ -185,7 +185,7 @@ def landing_stream(t: Tables):
 
 @query(
     "landing_stream_with_copies",
-    "select s_suppkey, s_name from supplier union all select s_suppkey, s_name from supplier",
+    "select s_suppkey::int as s_suppkey, s_name from supplier union all select s_suppkey::int, s_name from supplier",
 )
 def landing_stream_with_copies(t: Tables):
     drop = landing.Drop.below(scratch_path(t.spark, "lake"), "payments")
