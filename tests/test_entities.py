@@ -6,7 +6,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidewell.plans.entities import ENTITIES, strict, users_plan
+from tidewell.operators.nested import infer_json_schema
+from tidewell.plans.entities import ENTITIES, strict, usage_events_plan, users_plan
 from tidewell.plans.steps import Context
 
 D1, D2, D3 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
@@ -318,3 +319,12 @@ def test_optional_checks(spark, name):
     assert sorted(r.reason for r in plan.rejected_rows(audited).collect()) == expected
     assert plan.curated(case.raw(spark), context).count() == len(changes) - len(expected)
     assert ENTITIES[name].curated(case.raw(spark), context).count() == len(changes)
+
+
+def test_events_with_an_inferred_schema(spark):
+    payloads = ['{"event_id":"a","user_id":1,"colour":"red"}', '{"event_id":"b","user_id":2,"platform":"Web"}']
+    case = Case(CASES["usage_events"].base, [("", dict(data=d)) for d in payloads], CASES["usage_events"].refs)
+    raw = case.raw(spark)
+    plan = usage_events_plan(infer_json_schema(raw, "data"))
+    got = plan.curated(raw, case.context(spark))
+    assert rows(got, "event_id", "platform", "colour", "session_id") == [("a", None, "red", None), ("b", "Web", None, None)]

@@ -439,11 +439,8 @@ SUPPORT_TICKETS = EntityPlan(
 
 
 def usage_events_plan(payload_schema: str = PAYLOAD_SCHEMA) -> EntityPlan:
-    """The payload schema may be one found by ``infer_json_schema``."""
-
-    def unpacked(df: DataFrame) -> DataFrame:
-        outer = df.withColumnRenamed("created_at", "created_at_event")
-        return flatten_structs(parse_json(outer, "data", payload_schema)).drop("id")
+    """The payload schema may be one found by ``infer_json_schema``; fields it
+    does not know are null and further ones are kept."""
 
     typed = {
         "created_at_event": "timestamp",
@@ -463,6 +460,13 @@ def usage_events_plan(payload_schema: str = PAYLOAD_SCHEMA) -> EntityPlan:
         "subscription_id": "bigint",
         "user_id": "bigint",
     }
+
+    def unpacked(df: DataFrame) -> DataFrame:
+        outer = df.withColumnRenamed("created_at", "created_at_event")
+        flat = flatten_structs(parse_json(outer, "data", payload_schema)).drop("id")
+        absent = {c: F.lit(None).cast(t) for c, t in typed.items() if c not in flat.columns}
+        return flat.withColumns(absent)
+
     first = ["subscription_id", "user_id", "created_at_event", "processed", "ingest_time"]
     return EntityPlan(
         name="usage_events",

@@ -31,6 +31,11 @@ class Context:
     tables: Mapping[str, DataFrame] = field(default_factory=dict)
     as_of: date | None = None
 
+    def table(self, name: str) -> DataFrame:
+        if name not in self.tables:
+            raise LookupError(f"reference table {name} is not there yet")
+        return self.tables[name]
+
     def today(self) -> Column:
         return F.current_date() if self.as_of is None else F.lit(self.as_of)
 
@@ -133,14 +138,14 @@ class References:
     def keep(self, df: DataFrame, context: Context) -> DataFrame:
         kept = valid_rows(df, self.rules) if self.rules else df
         for reference in self.references:
-            kept = referenced(kept, context.tables[reference.table], reference)
+            kept = referenced(kept, context.table(reference.table), reference)
         return kept
 
     def audit(self, df: DataFrame, context: Context) -> DataFrame:
         flags = [f"__missing_{n}" for n, _ in enumerate(self.references)]
         marked = df
         for reference, flag in zip(self.references, flags):
-            marked = mark_reference(marked, context.tables[reference.table], reference, flag)
+            marked = mark_reference(marked, context.table(reference.table), reference, flag)
         missing = [
             F.when(F.col(flag), F.lit(reference.message))
             for reference, flag in zip(self.references, flags)
