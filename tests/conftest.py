@@ -12,7 +12,7 @@ def spark():
     from tidewell.session import build_session, configure
 
     settings = {
-        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
     }
