@@ -123,13 +123,25 @@ def test_landing_to_bronze(spark, tmp_path):
 
 def test_bronze_without_day_folders_stays_so(spark, tmp_path):
     landing, bronze = f"{tmp_path}/landing", f"{tmp_path}/bronze"
-    lake.append(lineage.stamp_landing(spark.range(3), "b1", T[0], "f"), bronze)
+    lineage.stamp_landing(spark.range(3), "b1", T[0], "f").write.parquet(bronze)
     lake.append(lineage.stamp_landing(spark.range(3), "b2", T[1], "f"), landing)
     assert jobs.landing_to_bronze(spark, landing, bronze) is True
     assert jobs.landing_to_bronze(spark, landing, bronze) is False
     assert lake.read_lake(spark, bronze).count() == 6
 
 
+def test_appends_keep_the_schema(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    lake.append(spark.createDataFrame([(1, "a")], "id int, v string"), path)
+    lake.append(spark.createDataFrame([(2.5, 2)], "price double, id int"), path)
+    table = lake.read_lake(spark, path)
+    assert table.columns == ["id", "v", "price"]
+    assert rows(table) == [(1, "a", None), (2, None, 2.5)]
+    with pytest.raises(ValueError, match="column id .* is int, not string"):
+        lake.append(spark.createDataFrame([("x",)], "id string"), path)
+    assert lake.read_lake(spark, path).count() == 2
+
+
 def test_one_failure_does_not_stop_the_others(spark):
     def job(name):
         if name == "bad":

@@ -53,6 +53,7 @@ TICKET_CATEGORIES = ["billing", "technical", "cancellation", "feature_request"]
 # Optional: short country codes some sources deliver, off unless asked for.
 COUNTRY_ALIASES = {"Us": "United States", "Uk": "United Kingdom"}
 
+# The fields of an event document.
 PAYLOAD_SCHEMA = (
     "content_id bigint, created_at string, device_type string, event_id string, "
     "event_properties struct<duration_sec: bigint, referrer: string>, event_timestamp string, "

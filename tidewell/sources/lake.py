@@ -40,7 +40,7 @@ SCHEMA_FOLDER = "_schema"
 def read_lake(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
     """Read a table; ``evolving`` unites the schemas of all its files.
 
-    A schema stored with the table is used as it is, without opening files.
+    A schema kept with the table is used as it is, without opening files.
     """
     stored = load_schema(spark, f"{path}/{SCHEMA_FOLDER}")
     if stored is not None:
@@ -52,9 +52,31 @@ def read_or_none(spark: SparkSession, path: str, evolving: bool = False) -> Data
     return read_lake(spark, path, evolving) if path_exists(spark, path) else None
 
 
+def remember_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Keep the columns of a table beside it and add those that are new.
+
+    Later reads need not open every file to unite their schemas.  A table that
+    was written without its schema stays so.
+    """
+    store = f"{path}/{SCHEMA_FOLDER}"
+    known = load_schema(spark, store)
+    if known is None and path_exists(spark, path):
+        return
+    fields = {f.name: f for f in known.fields} if known else {}
+    for field in schema.fields:
+        held = fields.setdefault(field.name, field)
+        if held.dataType != field.dataType:
+            raise ValueError(
+                f"column {field.name} of {path} is {held.dataType.simpleString()}, "
+                f"not {field.dataType.simpleString()}"
+            )
+    if known is None or len(fields) > len(known.fields):
+        store_schema(spark, store, StructType(list(fields.values())))
+
+
 def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Append, in folders per value of ``by``; new columns are allowed and found
-    by an ``evolving`` read."""
+    """Append, in folders per value of ``by``; new columns are allowed."""
+    remember_schema(df.sparkSession, path, df.schema)
     if by:
         df = df.hint("rebalance", *by)
     df.write.mode("append").partitionBy(*by).parquet(path)

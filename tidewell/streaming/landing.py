@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from tidewell.operators.upsert import reduce_batch, upsert_path
 from tidewell.plans.jobs import Outcome
+from tidewell.sources.lake import read_lake, remember_schema
 from tidewell.sources.lineage import stamp_landing
 from tidewell.streaming.schemas import current_schema
 
@@ -148,6 +149,7 @@ def start_landing(
     schema = current_schema(spark, drop.source, drop.schema_store)
     stream = csv_stream(spark, drop.source, schema, files_per_trigger)
     stamped = stamp_landing(stream, batch_id, at)
+    remember_schema(spark, drop.target, stamped.schema)
     write = to_table if copies else distinct_to_table
     return write(stamped, drop.target, drop.checkpoint)
 
@@ -182,5 +184,4 @@ def land_all(
 
 
 def read_landing(spark: SparkSession, drop: Drop) -> DataFrame:
-    rows = spark.read.option("mergeSchema", True).parquet(drop.target)
-    return rows.drop("dw_load")
+    return read_lake(spark, drop.target, evolving=True).drop("dw_load")
