@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import packing, tokens
+from tidewell.llm import language, neardup, neighbours, packing, quality, tokens
+from tidewell.llm.workers import ship
 from tidewell.session import configure
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -20,7 +22,16 @@ def vocabulary() -> str:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder}/{name}.parquet")
+    ship(configure(spark))
+    # texts may be long, so an Arrow batch has few rows
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,11 +44,31 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_subword_quality,
         op4_best_fit_packing,
         op7_token_counts,
+        op8_lsh_forest,
+        op9_collision_counting,
+        op10_kneser_ney_language,
     )
 }
 

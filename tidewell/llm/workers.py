@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+import tidewell
 
 ROWS_AT_ONCE = 512
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the library to the executors, once per session; Spark serves the file."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewell_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(tidewell.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewell-"), "tidewell.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    archive.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(root)))
+    context.addPyFile(path)
+    context._tidewell_shipped = True
+
+
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Record batches cut small, so that Python never holds many texts as objects."""
     for batch in batches:
@@ -90,3 +112,28 @@ def mixed(code: np.ndarray) -> np.ndarray:
     code = code ^ (code >> np.uint64(33))
     code = code * np.uint64(0xC4CEB9FE1A85EC53)
     return code ^ (code >> np.uint64(33))
+
+
+def grouped(texts: Iterable[str | None], split, most: int = 60_000) -> Iterator[list[list[str]]]:
+    """Word lists of several documents at a time, about ``most`` words together."""
+    group: list[list[str]] = []
+    size = 0
+    for text in texts:
+        words = split(text or "")
+        group.append(words)
+        size += len(words)
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sum of each run of ``values`` (by its first axis); runs may be empty."""
+    out = np.zeros((len(sizes), *values.shape[1:]))
+    some = np.flatnonzero(sizes)
+    if len(some):
+        starts = (np.cumsum(sizes) - sizes)[some]
+        out[some] = np.add.reduceat(values, starts, axis=0, dtype=np.float64)
+    return out
