@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import language, neardup, neighbours, packing, quality, tokens
+from tidewell.llm import decontaminate, language, neardup, neighbours, packing, pii, quality, tokens
 from tidewell.llm.workers import ship
 from tidewell.session import configure
 
 VOCABULARY = "byte_bpe_50k.json"
+# A key of one's own goes here in production; the queries need a stated one.
+PSEUDONYM_KEY = "tidewell"
 
 
 def vocabulary() -> str:
@@ -21,11 +23,16 @@ def vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make the session and its executors ready for the operators."""
     ship(configure(spark))
     # texts may be long, so an Arrow batch has few rows
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,11 +41,22 @@ def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that overlaps a benchmark item, with the item."""
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms, and how many values were replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs, PSEUDONYM_KEY, count="n_replaced")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary())
@@ -64,7 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_subword_quality,
+        op3_spaced_seeds,
         op4_best_fit_packing,
+        op6_feistel_pseudonyms,
         op7_token_counts,
         op8_lsh_forest,
         op9_collision_counting,
@@ -72,4 +92,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_spaced_seeds": decontaminate.ORACLE_SQL.strip()}
