@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, language, neardup, neighbours, packing, pii, quality, tokens
+from tidewell.llm import chat, decontaminate, language, neardup, neighbours, packing, pii, quality, substrings, tokens
 from tidewell.llm.workers import ship
 from tidewell.session import configure
 
@@ -35,6 +35,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation, repaired and rendered."""
+    return chat.repaired(table(spark, sf_dir, "conversations"))
+
+
 def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +56,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 50 words that repeat under smaller ids."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and how many values were replaced."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,9 +91,11 @@ def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_role_repair,
         op2_subword_quality,
         op3_spaced_seeds,
         op4_best_fit_packing,
+        op5_fm_index,
         op6_feistel_pseudonyms,
         op7_token_counts,
         op8_lsh_forest,
