@@ -125,7 +125,7 @@ def repaired(conversations: DataFrame) -> DataFrame:
 
     def render(turns: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         turns = turns.sort_values("place", ignore_index=True)
-        borders = {None if pd.isna(c) else c: (e, x, last) for c, e, x, last in known[["conv_id", "entry", "leave", "last"]].itertuples(index=False)}
+        borders = {None if pd.isna(c) else c: (int(e), None if pd.isna(x) else int(x), bool(last)) for c, e, x, last in known[["conv_id", "entry", "leave", "last"]].itertuples(index=False)}
         out = []
         codes = turns["code"].tolist()
         data = list(turns[["conv_id", "turn", "place", "text"]].itertuples(index=False, name=None))

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 PROJECTIONS = 64
 HIT = 0.6826895
 COLLIDING = round(PROJECTIONS * HIT - 1.65 * (PROJECTIONS * HIT * (1 - HIT)) ** 0.5)
-RADII = (0.1, 0.3, 0.5, 0.7, 0.85, 1.0, 1.1, 1.2, 1.3, 1.41, np.inf)
-SHARD = 1_024
+RADII = (0.5, 0.9, 1.05, 1.2, 1.35, np.inf)
+SHARD = 4_096
 BLOCK = 2_048
 
 

@@ -40,10 +40,12 @@ _ACCESS = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)"
-_DATE = r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}([/.])\d{2}\1\d{4})(?!\d)"
 _SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 _CARD = r"(?<!\d)\d(?:[ \-]?\d){12,18}(?![\d])"
-_PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]\d{2,4}){1,4}(?!\w)|(?<![\w+])\+\d{8,15}(?!\d)"
+_PHONE = (
+    r"(?<![\w+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?|\(\d{1,4}\)[ .\-]?)\d{2,4}(?:[ .\-]\d{2,4}){1,4}(?!\w)"
+    r"|(?<![\w+])\+\d{8,15}(?!\w)|(?<![\w.\-])(?:\d{3} \d{3} \d{4}|\d{3}\.\d{3}\.\d{4}|\d{3}-\d{3}-\d{4})(?!\w)"
+)
 _DATE_ANY = r"(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?!\d)"
 PATTERN = "|".join([_EMAIL, _SECRET, _ACCESS, _IBAN, _IPV4, _DATE_ANY, _SSN, _CARD, _PHONE])
 
@@ -183,7 +185,7 @@ def pseudonym(value: Column, key: str) -> Column:
     n_digits = F.length(_digits(value))
     number = F.datediff(_day(value), F.lit(FIRST_DAY).cast("date"))
     is_card = value.rlike(r"^\d(?:[ \-]?\d){12,18}$")
-    is_phone = n_digits.between(7, 15) & (value.rlike(r"[+(]") | (n_digits >= 9))
+    is_phone = n_digits.between(7, 15)
     return (
         F.when(value.contains("@"), _email(value, key))
         .when(value.rlike(f"^{_SECRET_HEAD}"), _behind(value, _SECRET_HEAD, key))
