@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.fmindex import FMIndex
 from tidewell.llm.neardup import WordHashes
+from tidewell.llm.sieve import only
 from tidewell.llm.workers import mixed, slices
 from tidewell.session import settle
 
@@ -44,7 +45,6 @@ ANCHOR = 25
 PASSAGES = 2_000
 RUN = 64
 SHARD_WORDS = 100_000
-BITS = 23
 _EMPTY = hashlib.sha256(b"").hexdigest()
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -141,21 +141,6 @@ def _surveyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id may be among ``ids``: all that are, and few others.
-
-    A table of 2^BITS bits is all that is broadcast (2 MB), so that a later join shuffles
-    few texts.  Where the ids fill the table, more rows pass and nothing is lost.
-    """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS))
-    word = F.floor(bit / 64).cast("int")
-    marks = ids.select(word.alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {1 << BITS}) % 64 as int))").alias("bit"))
-    table = settle(marks.groupBy("word").agg(F.bit_or("bit").alias("bits")), "bits")
-    table = table.select(F.col("word").alias("__word"), F.col("bits").alias("__bits"))
-    marked = F.expr(f"shiftrightunsigned(__bits, cast(pmod(xxhash64(doc_id), {1 << BITS}) % 64 as int)) & 1L") == 1
-    return docs.join(F.broadcast(table), word == F.col("__word")).where(marked).drop("__word", "__bits")
-
-
 def _passages(texts: DataFrame, kind: str) -> DataFrame:
     """Passages of texts(doc_id, text, class, runs): their route, hash and place, and their
     words once per task."""
