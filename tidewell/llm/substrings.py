@@ -42,7 +42,7 @@ from tidewell.session import settle
 
 WINDOW = 50
 ANCHOR = 25
-PASSAGES = 2_000
+PASSAGES = 4_000
 RUN = 64
 SHARD_WORDS = 100_000
 _EMPTY = hashlib.sha256(b"").hexdigest()
