@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from tidewell.catalogue import registered
@@ -42,6 +43,11 @@ HEADLINES = [
     "churn_rate",
     "nrr",
     "revenue",
+    "landing_stream",
+    "landing_to_bronze",
+    "upsert_lake",
+    "foreach_batch_upsert",
+    "publish_subscriptions",
 ]
 
 
@@ -50,6 +56,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     settings = {
         "spark.sql.shuffle.partitions": cpus,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": cpus,
+        "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-"),
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
         "spark.ui.showConsoleProgress": "false",
     }

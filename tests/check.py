@@ -66,7 +66,7 @@ def main(wanted: list[str]) -> int:
     from tidewell.catalogue import registered
     from tidewell.session import build_session
 
-    spark = build_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session("check", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect()
     failures = 0

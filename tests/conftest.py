@@ -8,11 +8,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidewell.session import build_session, configure
 
     settings = {
         "spark.sql.shuffle.partitions": "4",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidewell.operators.nested import infer_json_schema
+from tidewell.plans.entity import SUPERSEDED
 from tidewell.plans.entities import ENTITIES, strict, usage_events_plan, users_plan
 from tidewell.plans.steps import Context
 
@@ -218,9 +219,11 @@ def test_reasons(spark, name):
     raw = case.raw(spark)
     audited = plan.audited(raw, case.context(spark))
     assert audited.count() == raw.count(), "every row stays on one side"
-    reasons = sorted(r.reason for r in plan.rejected_rows(audited).collect())
+    found = [r.reason for r in plan.rejected_rows(audited).collect()]
+    reasons = sorted(r for r in found if r != SUPERSEDED)
     assert reasons == sorted(reason for reason, _ in case.cases if reason)
-    assert plan.accepted(audited).count() == sum(not reason for reason, _ in case.cases)
+    older = found.count(SUPERSEDED)
+    assert plan.accepted(audited).count() + older == sum(not reason for reason, _ in case.cases)
 
 
 @pytest.mark.parametrize("name", list(ENTITIES))
@@ -229,7 +232,7 @@ def test_both_readings_agree(spark, name):
     raw, context = case.raw(spark), case.context(spark)
     curated = plan.curated(raw, context)
     assert curated.columns[: len(plan.columns)] == list(plan.columns)
-    assert rows(curated) == rows(plan.accepted(plan.audited(raw, context)))
+    assert rows(plan.batch(raw, context)) == rows(plan.accepted(plan.audited(raw, context)))
 
 
 @pytest.mark.parametrize("name", list(ENTITIES))
@@ -237,7 +240,7 @@ def test_batch_upsert_and_report(spark, name):
     case, plan = CASES[name], ENTITIES[name]
     raw, context = case.raw(spark), case.context(spark)
     audited = plan.audited(raw, context)
-    batch = plan.reduced(plan.accepted(audited))
+    batch = plan.accepted(audited)
     assert batch.select(*plan.merge_keys).distinct().count() == batch.count()
     assert rows(plan.merged(plan.merged(None, batch), batch)) == rows(batch)
     report = {r.measure: r.row_count for r in plan.report(audited).collect()}
@@ -328,3 +331,17 @@ def test_events_with_an_inferred_schema(spark):
     plan = usage_events_plan(infer_json_schema(raw, "data"))
     got = plan.curated(raw, case.context(spark))
     assert rows(got, "event_id", "platform", "colour", "session_id") == [("a", None, "red", None), ("b", "Web", None, None)]
+
+
+def test_inferred_names_stay(spark):
+    text = '{"VOIDED": null, "VARIANT_ID": 1, "VOID": 2, "nested": {"OBJECT": [null]}}'
+    ddl = infer_json_schema(spark.createDataFrame([(text,)], "j string"), "j")
+    parsed = spark.createDataFrame([(text,)], "j string").select(F.from_json("j", ddl).alias("x")).select("x.*").first()
+    assert (parsed.VOIDED, parsed.VARIANT_ID, parsed.VOID, parsed.nested.OBJECT) == (None, 1, 2, [None])
+
+
+def test_repeated_reference_keys_multiply_no_rows(spark):
+    case, plan = CASES["subscriptions"], ENTITIES["subscriptions"]
+    context = case.context(spark)
+    twice = Context({n: t.unionAll(t) for n, t in context.tables.items()}, context.as_of)
+    assert plan.audited(case.raw(spark), twice).count() == case.raw(spark).count()

@@ -39,6 +39,11 @@ def test_bytes_and_nan(spark):
     assert rows(df.select(casting.utf8_text("b"), casting.number_or_null("d"))) == [("abé", None), (None, 1.0)]
 
 
+def test_replacement_characters_in_the_text_stay(spark):
+    df = spark.createDataFrame([(bytearray("a\ufffdb".encode() + b"\xff"),)], "b binary")
+    assert df.select(casting.utf8_text("b")).first()[0] == "a\ufffdb"
+
+
 def test_blank_to_null(spark):
     df = spark.createDataFrame([("", " ", 1), ("a", None, 2)], "x string, y string, n int")
     assert rows(casting.blanks_to_null(df)) == [("a", None, 2), (None, None, 1)]
@@ -49,7 +54,7 @@ def test_dates(spark):
     got = df.select(
         dates.end_not_before("s", "e"), dates.end_not_before("s", "n"), dates.end_or_default("s", "n"),
         dates.end_or_default("s", "n", 0), dates.span_days("s", "e"), dates.in_month("s", date(2024, 1, 9)),
-        dates.in_month("s", date(2024, 1, 9), whole=False), dates.on_day("s", date(2024, 1, 31)),
+        dates.in_month("s", date(2024, 2, 9)), dates.on_day("s", date(2024, 1, 31)),
     ).first()
     assert tuple(got) == (date(2024, 1, 31), None, date(2025, 1, 30), date(2024, 1, 31), 1, True, False, True)
 

@@ -57,7 +57,7 @@ def test_lookup_keeps_row_count(spark, facts):
     ]
 
 
-@pytest.mark.parametrize("form", ["semi", "anti", "mark", "mark_unique"])
+@pytest.mark.parametrize("form", ["semi", "anti", "mark"])
 def test_hot_key_is_split(spark, conf, form):
     """A third of the rows hold one key; AQE splits its partition."""
     conf(
@@ -72,12 +72,10 @@ def test_hot_key_is_split(spark, conf, form):
         F.sha2(F.col("id").cast("string"), 256).alias("text"),
     )
     keys = spark.range(0, 4000, 1, 4).select(F.col("id").alias("ref"))
-    unique = r.Reference("", ON, "", unique=True)
     result = {
         "semi": lambda: r.having_reference(facts, keys, ON),
         "anti": lambda: r.lacking_reference(facts, keys, ON),
         "mark": lambda: r.mark_reference(facts, keys, r.Reference("", ON, ""), "m"),
-        "mark_unique": lambda: r.mark_reference(facts, keys, unique, "m"),
     }[form]()
     total = result.agg(F.count("*").alias("n"), F.sum(F.length("text")))
     found = total.collect()[0].n

@@ -14,37 +14,31 @@ BATCH = [(1, "older", T[1]), (2, "equal", T[2]), (3, "newer", T[3]), (4, "to-nul
          (6, "insert", T[0]), (None, "b-null", T[4])]
 
 
-lookup = pytest.mark.parametrize("lookup", [True, False])
-
-
-def merged(spark, target, batch, lookup, newer_than="t"):
+def merged(spark, target, batch, newer_than="t"):
     target, batch = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(batch, SCHEMA)
-    return rows(u.merge_frames(target, batch, ["k"], newer_than, lookup), "k", "v")
+    return rows(u.merge_frames(target, batch, ["k"], newer_than), "k", "v")
 
 
-@lookup
-def test_newer_only(spark, lookup):
-    assert merged(spark, TARGET, BATCH, lookup) == sorted(
+def test_newer_only(spark):
+    assert merged(spark, TARGET, BATCH) == sorted(
         [(1, "t1"), (2, "t2"), (3, "newer"), (4, "t4"), (5, "t5"), (6, "insert"), (None, "t-null"), (None, "b-null")],
         key=repr,
     )
 
 
-@lookup
-def test_always(spark, lookup):
-    assert merged(spark, TARGET, BATCH, lookup, None) == sorted(
+def test_always(spark):
+    assert merged(spark, TARGET, BATCH, None) == sorted(
         [(1, "older"), (2, "equal"), (3, "newer"), (4, "to-null"), (5, "null"), (6, "insert"),
          (None, "t-null"), (None, "b-null")],
         key=repr,
     )
 
 
-@lookup
-def test_composite_key(spark, lookup):
+def test_composite_key(spark):
     schema = "a int, b int, v string, t int"
     target = spark.createDataFrame([(1, 1, "x", 1), (1, 2, "y", 1)], schema)
     batch = spark.createDataFrame([(1, 1, "new", 2), (2, 1, "add", 1)], schema)
-    out = u.merge_frames(target, batch, ["a", "b"], "t", lookup)
+    out = u.merge_frames(target, batch, ["a", "b"], "t")
     assert rows(out, "a", "b", "v") == [(1, 1, "new"), (1, 2, "y"), (2, 1, "add")]
 
 
@@ -54,17 +48,16 @@ row = st.tuples(st.integers(1, 6), st.text("xyz", max_size=2), st.sampled_from([
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(row, max_size=8, unique_by=lambda r: r[0]), st.lists(row, max_size=8, unique_by=lambda r: r[0]))
 def test_merge_properties(spark, target, batch):
-    """Both strategies agree, repeating a batch changes nothing, keys stay unique."""
+    """Repeating a batch changes nothing, keys stay unique."""
     t, b = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(batch, SCHEMA)
     expected = {k: (k, v, s) for k, v, s in target}
     for k, v, s in batch:
         held = expected.get(k)
         if held is None or (s is not None and held[2] is not None and s > held[2]):
             expected[k] = (k, v, s)
-    for small in (True, False):
-        once = u.merge_frames(t, b, ["k"], "t", lookup=small)
-        assert rows(once) == sorted(expected.values(), key=repr)
-        assert rows(u.merge_frames(once, b, ["k"], "t", lookup=small)) == rows(once)
+    once = u.merge_frames(t, b, ["k"], "t")
+    assert rows(once) == sorted(expected.values(), key=repr)
+    assert rows(u.merge_frames(once, b, ["k"], "t")) == rows(once)
 
 
 def test_outer_join_spreads_missing_keys(spark):
@@ -72,38 +65,48 @@ def test_outer_join_spreads_missing_keys(spark):
     assert "__lane" in physical(u.merge_frames(df, df, ["k"])).split("Exchange")[1]
 
 
-def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
-    spark.createDataFrame(TARGET, SCHEMA).write.parquet(f"{tmp_path}/t")
-    spark.createDataFrame(BATCH, SCHEMA).write.parquet(f"{tmp_path}/b")
-    target, batch = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/b")
-    assert u.is_small(batch)
-    assert "hashpartitioning" not in physical(u.merge_frames(target, batch, ["k"], "t", lookup=True))
-
-
-def test_size_limit_is_read_from_the_session(spark, conf):
-    df = spark.range(1000)
-    assert u.is_small(df)
-    for off in ("-1", "10b", "1k"):
-        conf(spark__sql__autoBroadcastJoinThreshold=off)
-        assert not u.is_small(df)
-    conf(spark__sql__autoBroadcastJoinThreshold="1MB")
-    assert u.is_small(df)
-
-
 def test_stored_table_rewrites_touched_buckets_only(spark, tmp_path):
     path = f"{tmp_path}/table"
     first = spark.createDataFrame([(n, f"v{n}", T[0]) for n in range(50)], SCHEMA)
     u.upsert_path(spark, path, first, ["k"], "t", buckets=8)
-    before = {p: sorted(f.name for f in p.glob("*.parquet")) for p in (tmp_path / "table").glob("merge_bucket=*")}
+    before = u.current_load(spark, path).loads
     batch = spark.createDataFrame([(7, "new", T[1])], SCHEMA)
-    for _ in range(2):
-        u.upsert_path(spark, path, batch, ["k"], "t", buckets=8)
-    after = {p: sorted(f.name for f in p.glob("*.parquet")) for p in (tmp_path / "table").glob("merge_bucket=*")}
-    assert sum(before[p] != after[p] for p in before) == 1
-    stored = spark.read.parquet(path)
+    u.upsert_path(spark, path, batch, ["k"], "t")
+    after = u.current_load(spark, path).loads
+    assert sum(before[b] != after[b] for b in before) == 1 and len(list((tmp_path / "table").glob("load=*/merge_bucket=*"))) == len(before) + 1
+    u.upsert_path(spark, path, batch, ["k"], "t")
+    stored = u.read_lake(spark, path)
     assert stored.count() == 50 and stored.filter("k = 7").first().v == "new"
     u.upsert_path(spark, path, batch.limit(0), ["k"], "t", buckets=8)
-    assert spark.read.parquet(path).count() == 50
+    assert u.read_lake(spark, path).count() == 50
+    assert u.vacuum(spark, path) == 1 and u.read_lake(spark, path).count() == 50
+
+
+def test_bucket_count_is_kept_with_the_table(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    batch = spark.createDataFrame([(n, "v", T[0]) for n in range(100)], SCHEMA)
+    u.upsert_path(spark, path, batch, ["k"], "t", buckets=16)
+    with pytest.raises(ValueError, match="16 buckets"):
+        u.upsert_path(spark, path, batch, ["k"], "t", buckets=25)
+    u.rebucket(spark, path, 25)
+    u.upsert_path(spark, path, batch, ["k"], "t", buckets=25)
+    u.upsert_path(spark, path, batch, ["k"], "t")
+    assert u.read_lake(spark, path).count() == 100
+
+
+def test_a_batch_may_repeat_keys_and_bring_columns(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    u.upsert_path(spark, path, spark.createDataFrame([(1, "a", T[0]), (2, "b", T[0])], SCHEMA), ["k"], "t")
+    again = spark.createDataFrame(
+        [(1, "x", T[1], 7), (1, "y", T[2], 8), (3, "z", T[1], 9), (None, "n", T[1], 1), (None, "n", T[1], 1)], SCHEMA + ", extra int"
+    )
+    u.upsert_path(spark, path, again, ["k"], "t")
+    assert rows(u.read_lake(spark, path), "k", "v", "extra") == rows(
+        spark.createDataFrame([(1, "y", 8), (2, "b", None), (3, "z", 9), (None, "n", 1), (None, "n", 1)], "k int, v string, extra int")
+    )
+    # a batch that lacks a column leaves it as it is
+    u.upsert_path(spark, path, spark.createDataFrame([(1, "w", T[3])], SCHEMA), ["k"], "t")
+    assert u.read_lake(spark, path).filter("k = 1").first().extra == 8
 
 
 def test_table_may_start_empty(spark, tmp_path):

@@ -189,7 +189,8 @@ def session_rollup(t: Tables):
 
 @query(
     "derived_subscription_columns",
-    """select o_orderkey, cast(d as varchar) as start_day, year(d)::int as start_year, month(d)::int as start_month,
+    """select o_orderkey, cast(d as varchar) as start_day,
+       (date_diff('month', d, date '2002-01-31') - case when day(d) > 31 then 1 else 0 end)::int as subscription_tenure_months, year(d)::int as start_year, month(d)::int as start_month,
        date_diff('day', d, date '2002-01-31')::int as subscription_tenure_days,
        case when o_orderstatus = 'F' then month(d + 40)::int end as end_month, o_orderstatus = 'O' as is_active,
        o_orderstatus = 'P' as is_trial, o_orderstatus = 'F' as is_cancelled, o_totalprice > 100000 as is_paid
@@ -204,7 +205,6 @@ def derived_subscription_columns(t: Tables):
     )
     columns = derived.subscription_columns(F.lit(date(2002, 1, 31)))
     columns["start_day"] = columns.pop("start_date")
-    columns.pop("subscription_tenure_months")
     return rows.withColumns(columns).select("o_orderkey", *columns)
 
 
@@ -248,26 +248,33 @@ def derived_allocation_columns(t: Tables):
     """select p_partkey, case when p_size > 25 then (cast(price * 100 as bigint) * 2 + 12) // 24 / 100 else price::double end
        as monthly_price_equivalent, price > 0 as is_paid, case p_type when 'PROMO' then 0 else 3 end as tier_rank,
        case when p_size > 25 then 1 else 12 end as billings_per_year
+       , (date '2024-01-01' + (p_size % 90)::int)::varchar as created_day, year(date '2024-01-01' + (p_size % 90)::int)::int as created_year,
+       month(date '2024-01-01' + (p_size % 90)::int)::int as created_month
        from (select *, cast(p_retailprice as decimal(18,2)) as price from part)""",
 )
 def derived_plan_columns(t: Tables):
     rows = t.sql(
-        """select p_partkey, cast(p_retailprice as decimal(18,2)) as price, timestamp '2024-01-01 00:00:00' as created_at,
+        """select p_partkey, cast(p_retailprice as decimal(18,2)) as price, timestamp '2024-01-01 00:00:00' + DAYS(p_size % 90) as created_at,
            case when p_size > 25 then 'annual' else 'monthly' end as billing_cycle,
            case p_type when 'PROMO' then 'Free Trial' else 'Premium' end as tier from {part}"""
     )
-    columns = {k: v for k, v in derived.plan_columns().items() if not k.startswith("created")}
+    columns = derived.plan_columns()
+    columns["created_day"] = columns.pop("created_date")
     return rows.select("p_partkey", *[v.alias(k) for k, v in columns.items()])
 
 
 @query(
     "derived_ticket_columns",
     """select conv_id, turn, trim(regexp_replace(text, '\\s+', ' ', 'g')) as description_clean,
-       length(trim(regexp_replace(text, '\\s+', ' ', 'g')))::int as description_length from conversations""",
+       length(trim(regexp_replace(text, '\\s+', ' ', 'g')))::int as description_length,
+       (date '2024-01-01' + (conv_id % 400)::int)::varchar as created_day, year(date '2024-01-01' + (conv_id % 400)::int)::int as created_year,
+       month(date '2024-01-01' + (conv_id % 400)::int)::int as created_month from conversations""",
 )
 def derived_ticket_columns(t: Tables):
-    rows = t.conversations.withColumnsRenamed({"text": "description"}).withColumn("created_at", F.current_timestamp())
-    columns = {k: v for k, v in derived.ticket_columns().items() if k.startswith("description")}
+    created = F.date_add(F.lit(date(2024, 1, 1)), (F.col("conv_id") % 400).cast("int")).cast("timestamp")
+    rows = t.conversations.withColumnsRenamed({"text": "description"}).withColumn("created_at", created)
+    columns = derived.ticket_columns()
+    columns["created_day"] = columns.pop("created_date")
     return rows.select("conv_id", "turn", *[v.alias(k) for k, v in columns.items()])
 
 

@@ -208,10 +208,11 @@ def event_time_slice_month(t: Tables):
 
 @query(
     "event_time_slice_month_short",
-    "select * from orders where o_orderdate >= timestamp '1998-03-01' and o_orderdate < timestamp '1998-03-31'",
+    "select * from orders where o_orderdate >= timestamp '1998-02-01' and o_orderdate < timestamp '1998-03-01'",
 )
 def event_time_slice_month_short(t: Tables):
-    return t.orders.filter(dates.in_month("o_orderdate", date(1998, 3, 1), whole=False))
+    """The shortest month, all of its days."""
+    return t.orders.filter(dates.in_month("o_orderdate", date(1998, 2, 14)))
 
 
 @query(

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from tidewell.catalogue import curated
 from tidewell.catalogue.base import Tables, query
 from tidewell.operators.nested import parse_json
-from tidewell.operators.upsert import BUCKET
 from tidewell.plans.entities import SUBSCRIPTIONS
 from tidewell.plans.jobs import landing_to_bronze, publish, seed_table
 from tidewell.session import scratch_path
 from tidewell.sources import files, lake, watermark
+from tidewell.sources.lake import BUCKET
 from tidewell.sources.lineage import stamp_landing
 from tidewell.streaming import landing
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewell.catalogue.base import Tables, query
-from tidewell.operators.upsert import merge_frames, reduce_batch, upsert_path
+from tidewell.operators.upsert import merge_frames, rebucket, reduce_batch, upsert_path
 from tidewell.session import scratch_path
 from tidewell.sources.lake import read_lake
 
@@ -87,3 +87,40 @@ def upsert_null_keys(t: Tables):
     """A target row without a key matches nothing and stays."""
     target = t.sql(TARGET).withColumn("k", F.nullif("k", F.lit(1)))
     return merge_frames(target, _batch(t), ["k"])
+
+
+@query("upsert_lake_rebucketed", _merged_sql("coalesce(s.stamp > t.stamp, false)"))
+def upsert_lake_rebucketed(t: Tables):
+    """Another bucket count is refused; after re-bucketing the batch finds its keys."""
+    path = scratch_path(t.spark, "upsert-rebucketed")
+    upsert_path(t.spark, path, t.sql(TARGET), ["k"], "stamp", buckets=4)
+    try:
+        upsert_path(t.spark, path, _batch(t), ["k"], "stamp", buckets=7)
+        raise AssertionError("another number of buckets was taken")
+    except ValueError:
+        rebucket(t.spark, path, 7)
+    upsert_path(t.spark, path, _batch(t), ["k"], "stamp", buckets=7)
+    upsert_path(t.spark, path, _batch(t), ["k"], "stamp")
+    return read_lake(t.spark, path).select("k", "amount", "origin", "stamp")
+
+
+@query("upsert_lake_repeated_keys", _merged_sql("coalesce(s.stamp > t.stamp, false)"))
+def upsert_lake_repeated_keys(t: Tables):
+    """The batch holds every line of an order; the newest counts."""
+    path = scratch_path(t.spark, "upsert-repeated")
+    upsert_path(t.spark, path, t.sql(TARGET), ["k"], "stamp", buckets=4)
+    upsert_path(t.spark, path, t.sql(LINES), ["k"], "stamp")
+    return read_lake(t.spark, path).select("k", "amount", "origin", "stamp")
+
+
+@query(
+    "upsert_lake_new_column",
+    f"select m.*, case when origin = 'line' then k % 7 end as extra from ({_merged_sql('coalesce(s.stamp > t.stamp, false)')}) m",
+)
+def upsert_lake_new_column(t: Tables):
+    """The batch brings a column; a later batch without it leaves it as it is."""
+    path = scratch_path(t.spark, "upsert-column")
+    upsert_path(t.spark, path, t.sql(TARGET), ["k"], "stamp", buckets=4)
+    upsert_path(t.spark, path, _batch(t).withColumn("extra", F.col("k") % 7), ["k"], "stamp")
+    upsert_path(t.spark, path, _batch(t).filter("k % 2 = 0"), ["k"], "stamp")
+    return read_lake(t.spark, path).select("k", "amount", "origin", "stamp", "extra")

@@ -29,8 +29,9 @@ def arr(t: Tables):
 
 
 _MONTHS = f"""with s as ({_SUBSCRIPTIONS}),
-months as (select date_trunc('month', start_date)::date as month from s
-  union select date_trunc('month', end_date)::date from s where end_date is not null),
+span as (select date_trunc('month', min(start_date)) as a,
+  greatest(date_trunc('month', max(start_date)), date_trunc('month', max(end_date))) as b from s),
+months as (select unnest(generate_series(a, b, interval 1 month))::date as month from span),
 running as (select month, (select count(*) from s where start_date < month and (end_date is null or end_date >= month))
     as active_at_start,
   (select count(*) from s where date_trunc('month', end_date) = month and start_date < month) as churned from months)
@@ -125,6 +126,36 @@ def churn_scores(t: Tables):
     return models.churn_scores(model, customers)
 
 
+@query(
+    "churn_scores_facts",
+    """select count(*) as customers, count(distinct c_custkey) as keys, sum(c_custkey)::bigint as key_sum, true as within_bounds
+       from (select distinct c_custkey from orders join customer on o_custkey = c_custkey)""",
+)
+def churn_scores_facts(t: Tables):
+    """Every customer with orders is scored once, between 0 and 1."""
+    return churn_scores(t).agg(
+        F.count("*").alias("customers"),
+        F.countDistinct("c_custkey").alias("keys"),
+        F.sum("c_custkey").alias("key_sum"),
+        F.bool_and(F.col("churn_score").between(0, 1)).alias("within_bounds"),
+    )
+
+
 @query("customer_segments")
 def customer_segments(t: Tables):
     return models.segments(_customer_features(t), ["orders", "mean_price", "c_acctbal"], 4)
+
+
+@query(
+    "customer_segments_facts",
+    """select count(*) as customers, count(distinct c_custkey) as keys, sum(c_custkey)::bigint as key_sum, 4 as segments
+       from (select distinct c_custkey from orders join customer on o_custkey = c_custkey)""",
+)
+def customer_segments_facts(t: Tables):
+    """Every customer with orders is in one of the four segments, none of which is empty."""
+    return customer_segments(t).agg(
+        F.count("*").alias("customers"),
+        F.countDistinct("c_custkey").alias("keys"),
+        F.sum("c_custkey").alias("key_sum"),
+        F.countDistinct("segment").cast("int").alias("segments"),
+    )

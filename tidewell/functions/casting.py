@@ -42,7 +42,14 @@ def number_or_null(column: str | Column) -> Column:
     return F.when(~F.isnan(source), source)
 
 
+# Stands for a replacement character that was in the text; these code points are
+# no characters and are not meant for exchange.
+_GENUINE = "\ufdd0\ufdd1\ufdd0"
+
+
 def utf8_text(column: str | Column) -> Column:
     """Decode bytes as UTF-8 and leave out the bytes that are not valid."""
     source = F.col(column) if isinstance(column, str) else column
-    return F.replace(F.make_valid_utf8(source.cast("string")), F.lit("�"), F.lit(""))
+    held = F.replace(source.cast("string"), F.lit("\ufffd"), F.lit(_GENUINE))
+    valid = F.replace(F.make_valid_utf8(held), F.lit("\ufffd"), F.lit(""))
+    return F.replace(valid, F.lit(_GENUINE), F.lit("\ufffd"))

@@ -28,15 +28,10 @@ def on_day(stamp: str, day: date) -> Column:
     return (F.col(stamp) >= first) & (F.col(stamp) < F.date_add(first, 1))
 
 
-def in_month(stamp: str, month: date, whole: bool = True) -> Column:
-    """True for stamps of one month.
-
-    ``whole=False`` leaves out the last day of the month, as some feeds do
-    that end a month at the midnight before its last day.
-    """
+def in_month(stamp: str, month: date) -> Column:
+    """True for stamps of one month."""
     first = F.lit(month.replace(day=1))
-    stop = F.add_months(first, 1) if whole else F.last_day(first)
-    return (F.col(stamp) >= first) & (F.col(stamp) < stop)
+    return (F.col(stamp) >= first) & (F.col(stamp) < F.add_months(first, 1))
 
 
 def date_parts(stamp: str, prefix: str) -> dict[str, Column]:

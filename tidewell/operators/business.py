@@ -66,19 +66,15 @@ def linked_cancellations(tickets: DataFrame, subscriptions: DataFrame) -> DataFr
 SEAT_BLOCK = 1000
 
 
-def expand_seats(licences: DataFrame, seats: str, cap: int | None = None) -> DataFrame:
-    """One row per used seat, numbered from 1.
-
-    ``cap`` ends the list of seats after that many rows.
-    """
+def expand_seats(licences: DataFrame, seats: str) -> DataFrame:
+    """One row per used seat, numbered from 1."""
     count = F.col(seats)
     blocks = licences.filter(count >= 1).withColumn(
         "__from", F.explode(F.sequence(F.lit(1), count, F.lit(SEAT_BLOCK)))
     )
     last = F.least(count, F.col("__from") + F.lit(SEAT_BLOCK - 1))
     seated = blocks.withColumn("seat_number", F.explode(F.sequence(F.col("__from"), last)))
-    seated = seated.drop("__from")
-    return seated if cap is None else seated.limit(cap)
+    return seated.drop("__from")
 
 
 def seats_in_range(

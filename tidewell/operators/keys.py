@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewell.session import settle
 
-_ID, _PIECE, _OFFSET = "__id", "__piece", "__offset"
+_ID, _PIECE, _OFFSET, _TIE = "__id", "__piece", "__offset", "__tie"
 # monotonically_increasing_id keeps the partition above this many bits.
 _PIECE_BITS = 33
 
@@ -24,9 +24,12 @@ def surrogate_keys(
 ) -> DataFrame:
     """Contiguous numbers from ``start_after + 1`` in the given order.
 
-    Rows that tie in the whole order are numbered in any order among them.
+    Rows that tie in the whole order are numbered in any order among them; their
+    place in the input comes last in the order, so that ties are cut evenly too.
     """
-    sorted_pieces = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = [*order, _TIE]
+    spread = df.withColumn(_TIE, F.xxhash64(F.monotonically_increasing_id()))
+    sorted_pieces = spread.repartitionByRange(*placed).sortWithinPartitions(*placed).drop(_TIE)
     rows = settle(sorted_pieces.withColumn(_ID, F.monotonically_increasing_id()), "numbered")
     piece = F.shiftright(_ID, _PIECE_BITS)
     sizes = rows.groupBy(piece.alias(_PIECE)).agg(F.count("*").alias("__size"))
@@ -49,8 +52,11 @@ def paginate(df: DataFrame, order: Sequence[str], size: int, name: str = "page")
 
 
 def one_page(df: DataFrame, order: Sequence[str], offset: int, size: int) -> DataFrame:
-    """One page of the ordered rows."""
-    return df.orderBy(*order).offset(offset).limit(size)
+    """One page of the ordered rows, found by number, so that no task gathers the
+    pages before it."""
+    numbered = surrogate_keys(df, order, "__seq")
+    inside = (F.col("__seq") > offset) & (F.col("__seq") <= offset + size)
+    return numbered.filter(inside).drop("__seq")
 
 
 def previous_value(

@@ -35,7 +35,7 @@ def churn_by_month(subscriptions: DataFrame) -> DataFrame:
     in it, churn and retention rate.
 
     Starts and ends are counted per month first; the running totals then go
-    over one row per month.
+    over one row per month, from the first month to the last, quiet ones too.
     """
     started = subscriptions.filter(F.col("start_date").isNotNull())
     moves = started.select(
@@ -60,7 +60,19 @@ def churn_by_month(subscriptions: DataFrame) -> DataFrame:
     monthly = moves.groupBy(F.col("m.month").alias("month")).agg(
         F.sum("m.s").alias("starts"), F.sum("m.e").alias("ends"), F.sum(ended_here).alias("churned")
     )
-    return _with_rates(_running_at_start(monthly))
+    return _with_rates(_running_at_start(_every_month(monthly)))
+
+
+def _every_month(monthly: DataFrame) -> DataFrame:
+    """The months between the first and the last that have no row, with zeros."""
+    counts = ["starts", "ends", "churned"]
+    span = monthly.agg(F.min("month").alias("__from"), F.max("month").alias("__to"))
+    spine = span.filter(F.col("__from").isNotNull()).select(
+        F.explode(F.sequence("__from", "__to", F.expr("interval 1 month"))).alias("month"),
+        *[F.lit(0).alias(c) for c in counts],
+    )
+    both = monthly.unionByName(spine)
+    return both.groupBy("month").agg(*[F.sum(c).alias(c) for c in counts])
 
 
 def _running_at_start(monthly: DataFrame) -> DataFrame:
@@ -102,23 +114,23 @@ def monthly_user_revenue(payments: DataFrame, user: str, amount: str, stamp: str
 def net_retention(user_revenue: DataFrame) -> DataFrame:
     """Per month: revenue now of the users who paid in the month before, over
     what they paid then."""
-    before = user_revenue.select(
-        F.col("user_id").alias("__user"),
-        F.add_months("month", 1).alias("__month"),
-        F.col("mrr").alias("__mrr"),
-    )
-    now = user_revenue.join(
-        before,
-        (F.col("user_id") == F.col("__user")) & (F.col("month") == F.col("__month")),
-        "right",
-    )
+    # each month counts as itself and as the month before the next one
+    amount = user_revenue.schema["mrr"].dataType
+    none, mrr = F.lit(None).cast(amount), F.col("mrr")
+    own = F.struct("month", mrr.alias("now"), none.alias("then"), F.lit(1).alias("pays"), F.lit(0).alias("paid"))
+    later = F.struct(F.add_months("month", 1).alias("month"), none.alias("now"), mrr.alias("then"), F.lit(0).alias("pays"), F.lit(1).alias("paid"))
+    sides = user_revenue.select("user_id", F.explode(F.array(own, later)).alias("m")).select("user_id", "m.*")
+    by_user = sides.groupBy("user_id", "month").agg(*[F.max(c).alias(c) for c in ("now", "then", "pays", "paid")])
+    cohort = by_user.filter(F.col("paid") == 1)
+    # revenue without a user is of no user that could stay
+    stays = F.col("user_id").isNotNull() & (F.col("pays") == 1)
     return (
-        now.groupBy(F.col("__month").alias("month"))
+        cohort.groupBy("month")
         .agg(
-            F.sum("__mrr").alias("starting_mrr"),
-            F.coalesce(F.sum("mrr"), F.lit(0)).alias("retained_mrr"),
+            F.sum("then").alias("starting_mrr"),
+            F.coalesce(F.sum(F.when(stays, F.col("now"))), F.lit(0)).alias("retained_mrr"),
             F.count("*").alias("cohort_users"),
-            F.count("user_id").alias("retained_users"),
+            F.count(F.when(stays, 1)).alias("retained_users"),
         )
         .withColumn("nrr", F.col("retained_mrr").cast("double") / F.col("starting_mrr").cast("double"))
     )

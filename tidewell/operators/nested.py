@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# Type words of a variant's schema; quoted names and names before a colon are none.
+_TYPE_WORDS = re.compile(r"`(?:[^`]|``)*`|\b(OBJECT|VARIANT|VOID)\b(?!\s*:)")
+_SPARK_TYPES = {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}
+
+
 def flatten_structs(df: DataFrame, separator: str = "_") -> DataFrame:
     """Replace every struct by its leaves, names joined by ``separator``."""
 
@@ -40,4 +47,4 @@ def infer_json_schema(df: DataFrame, column: str) -> str:
     resulting type reaches the driver.
     """
     found = df.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
-    return found.replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING")
+    return _TYPE_WORDS.sub(lambda m: _SPARK_TYPES.get(m[1], m[0]), found)

@@ -59,15 +59,13 @@ def reference_split(
 class Reference:
     """A key of a table that must exist in another.
 
-    ``optional`` lets a null key pass.  ``unique`` says that the reference
-    holds each key once, as every curated table does for its merge key.
+    ``optional`` lets a null key pass.
     """
 
     table: str
     on: KeyMap
     message: str
     optional: bool = False
-    unique: bool = False
 
     def nullable_key(self) -> Column:
         return reduce(Column.__or__, [F.col(own).isNull() for own in self.on])
@@ -79,9 +77,7 @@ def mark_reference(df: DataFrame, reference: DataFrame, spec: Reference, flag: s
     One pass for both sides of the split; repeated reference keys never
     multiply rows.
     """
-    keys = _renamed_keys(reference, spec.on)
-    if not spec.unique:
-        keys = unique_keys(keys)
+    keys = unique_keys(_renamed_keys(reference, spec.on))
     marked = df.join(keys.withColumn("__found", F.lit(True)), _match(spec.on), "left")
     missing = F.col("__found").isNull()
     if spec.optional:

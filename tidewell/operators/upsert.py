@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,10 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import latest
-from tidewell.session import estimated_bytes, settle
-from tidewell.sources.lake import SCHEMA_FOLDER, path_exists, read_lake, store_schema
-
-BUCKET = "merge_bucket"
+from tidewell.session import remove_path, settling
+from tidewell.sources.lake import (
+    BUCKET,
+    LOAD,
+    SCHEMA_FOLDER,
+    Loaded,
+    commit_load,
+    current_load,
+    list_folders,
+    load_schema,
+    path_exists,
+    read_lake,
+    remember_schema,
+)
+
+DEFAULT_BUCKETS = 64
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -27,20 +40,8 @@ def _wins(newer_than: str | None) -> Column:
     return F.coalesce(F.col(f"s.{newer_than}") > F.col(f"t.{newer_than}"), F.lit(False))
 
 
-def _pick(columns: Sequence[str], from_source: Column) -> list[Column]:
-    return [
-        F.when(from_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in columns
-    ]
-
-
-def is_small(batch: DataFrame) -> bool:
-    """Whether Catalyst's size estimate lets Spark broadcast the batch."""
-    limit = batch.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    digits = limit.lower().rstrip("b")
-    allowed = int(digits[:-1]) * units[digits[-1]] if digits[-1:] in units else int(digits)
-    size = estimated_bytes(batch)
-    return size is not None and size <= allowed
+def _pick(column: str, from_source: Column) -> Column:
+    return F.when(from_source, F.col(f"s.{column}")).otherwise(F.col(f"t.{column}")).alias(column)
 
 
 def merge_frames(
@@ -48,32 +49,20 @@ def merge_frames(
     batch: DataFrame,
     keys: Sequence[str],
     newer_than: str | None = None,
-    lookup: bool = False,
 ) -> DataFrame:
     """The target after the batch, which must hold each key once.
 
     ``newer_than`` names the stamp that has to grow for an update; without it
     every match updates.  Rows with a null key match nothing: those of the
-    target stay and those of the batch are inserted.  The target's columns
-    decide the output.
+    target stay and those of the batch are inserted.  Columns that only one
+    side has are kept; where the batch lacks one, an update leaves it as it is.
 
-    Both sides are read once and meet in a full outer join.  ``lookup`` suits a
-    stored target with a small stored batch: the batch is read several times
-    and looked up from the target, which then is not shuffled.
+    Both sides are read once and meet in a full outer join.
     """
-    columns = target.columns
-    batch = batch.select(*columns)
-    if lookup:
-        updated = target.alias("t").join(
-            batch.withColumn("__hit", F.lit(True)).alias("s"), _same_key(keys), "left"
-        )
-        from_source = F.col("__hit").isNotNull() & _wins(newer_than)
-        known = target.select(*keys).alias("t").join(
-            batch.select(*keys).alias("s"), _same_key(keys), "left_semi"
-        )
-        inserts = batch.alias("s").join(known.alias("t"), _same_key(keys), "left_anti")
-        return updated.select(*_pick(columns, from_source)).unionByName(inserts)
-
+    columns = [*target.columns, *[c for c in batch.columns if c not in target.columns]]
+    held = set(target.columns) - set(batch.columns)
+    target = target.select(*columns_or_null(target, batch, columns))
+    batch = batch.select(*columns_or_null(batch, target, columns))
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
     def prepared(df: DataFrame, side: str) -> DataFrame:
@@ -88,12 +77,21 @@ def merge_frames(
         "full_outer",
     )
     in_target, in_batch = F.col("t.__here").isNotNull(), F.col("s.__here").isNotNull()
-    return joined.select(*_pick(columns, ~in_target | (in_batch & _wins(newer_than))))
+    from_source = ~in_target | (in_batch & _wins(newer_than))
+    return joined.select(*[F.col(f"t.{c}").alias(c) if c in held else _pick(c, from_source) for c in columns])
+
+
+def columns_or_null(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The columns in order; those only the other frame has are null, of its type."""
+    own = set(df.columns)
+    return [F.col(c) if c in own else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
 
 
 def reduce_batch(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per merge key, as ``merge_frames`` needs it."""
-    return latest(batch, keys, order)
+    """One row per merge key, as ``merge_frames`` needs it; rows without a key all stay."""
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    lane = F.when(no_key, F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return latest(batch.withColumn("__lane", lane), [*keys, "__lane"], order).drop("__lane")
 
 
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -106,41 +104,70 @@ def upsert_path(
     batch: DataFrame,
     keys: Sequence[str],
     newer_than: str | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
+    newest: Sequence[str] | None = None,
 ) -> None:
     """Upsert into a parquet table kept in hash buckets of the merge key.
 
-    The first load writes the table.  Later loads rewrite only the buckets the
-    batch touches: their merged rows are written to the shared scratch folder
-    and then replace those partitions.  A load that was interrupted is
-    repeated with the same batch and ends in the same table.
+    The batch may repeat keys: the row highest in ``newest`` (``newer_than``
+    unless given) counts.  New columns of the batch are added to the table.  The
+    number of buckets is kept with the table; 64 for a new one, and another one
+    is refused (see ``rebucket``).
+
+    Only the buckets that the batch touches are merged.  Their rows are written
+    once, to a folder of this load, and one small file then names the folder of
+    every bucket: readers see the table before or after the load, never between,
+    and a load that was interrupted has changed nothing and may be repeated.
 
     With a catalog that has row-level operations use ``merge_into`` instead.
     """
-    rows = with_bucket(batch, keys, buckets)
-    if not path_exists(spark, path):
-        store_schema(spark, f"{path}/{SCHEMA_FOLDER}", rows.schema)
-        _write_buckets(rows, path)
-        return
-    rows = settle(rows, "upsert-batch")
-    # Bucket numbers only, so never more than ``buckets`` of them.
+    table = current_load(spark, path)
+    if table is None and path_exists(spark, path) and load_schema(spark, f"{path}/{SCHEMA_FOLDER}") is None:
+        raise ValueError(f"{path} holds no table of upsert_path")
+    count = buckets or (table.buckets if table else DEFAULT_BUCKETS)
+    if table is not None and (count, list(keys)) != (table.buckets, list(table.keys)):
+        raise ValueError(f"{path} has {table.buckets} buckets of {table.keys}, not {count} of {list(keys)}")
+    order = list(newest) if newest is not None else [newer_than] if newer_than else []
+    with settling(spark) as settled:
+        rows = settled(with_bucket(reduce_batch(batch, keys, order), keys, count), "upsert-batch")
+        # Bucket numbers only, so never more than ``buckets`` of them.
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+        remember_schema(spark, path, rows.schema, new=table is None)
+        if not touched:
+            if table is None:
+                commit_load(spark, path, Loaded(0, count, list(keys), {}))
+            return
+        merged = rows
+        if table is not None:
+            target = read_lake(spark, path).filter(F.col(BUCKET).isin(touched))
+            merged = merge_frames(target, rows, [*keys], newer_than)
+        _commit_rows(spark, path, merged, touched, table or Loaded(0, count, list(keys), {}))
+
+
+def _commit_rows(spark: SparkSession, path: str, rows: DataFrame, touched: Sequence[int], table: Loaded) -> None:
+    load = uuid.uuid4().hex
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{LOAD}={load}")
+    commit_load(spark, path, table.after({bucket: load for bucket in touched}))
+
+
+def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
+    """Write the table anew in another number of buckets."""
+    table = current_load(spark, path)
+    rows = with_bucket(read_lake(spark, path).drop(BUCKET), table.keys, buckets)
     touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    table = read_lake(spark, path)
-    target = table.filter(F.col(BUCKET).isin(touched))
-    merged = merge_frames(target, rows, [*keys], newer_than, lookup=is_small(rows))
-    _write_buckets(settle(merged, "upsert-merged"), path)
-
-
-def _write_buckets(df: DataFrame, path: str) -> None:
-    (
-        df.hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
+    _commit_rows(spark, path, rows, touched, Loaded(table.version, buckets, table.keys, {}))
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete the folders of loads that the table no longer names; returns how many.
+
+    Readers that began before the last load may still need them.
+    """
+    named = set(current_load(spark, path).loads.values())
+    stale = [f for f in list_folders(spark, path, f"{LOAD}=") if f.rpartition("=")[2] not in named]
+    for folder in stale:
+        remove_path(spark, folder)
+    return len(stale)
 
 
 def merge_into(

@@ -185,7 +185,6 @@ PLANS = EntityPlan(
                     "products",
                     {"product_id": "product_id"},
                     "product_id not found in silver products",
-                    unique=True,
                 )
             ]
         ),
@@ -227,7 +226,7 @@ SUBSCRIPTIONS = EntityPlan(
         Derive(lambda _: {"status": lowered("status")}),
         Check([one_of("status", SUBSCRIPTION_STATUSES)]),
         References(
-            [Reference("users", {"user_id": "user_id"}, "user_id not found in silver users", unique=True)]
+            [Reference("users", {"user_id": "user_id"}, "user_id not found in silver users")]
         ),
         Check([ordered("start_date", "end_date", open_end=True)]),
         Check([MRR_RULE]),
@@ -268,7 +267,7 @@ SUBSCRIPTION_CHANGES = EntityPlan(
         Check([one_of("change_type", CHANGE_TYPES)]),
         References(
             [
-                Reference("plans", {role: "plan_id"}, f"{role} not found in silver plans", unique=True)
+                Reference("plans", {role: "plan_id"}, f"{role} not found in silver plans")
                 for role in ("old_plan_id", "new_plan_id")
             ]
         ),
@@ -321,7 +320,6 @@ PAYMENTS = EntityPlan(
                     "subscriptions",
                     {"subscription_id": "subscription_id"},
                     "subscription_id not found in silver subscriptions",
-                    unique=True,
                 )
             ]
         ),
@@ -362,7 +360,6 @@ LICENSE_KEYS = EntityPlan(
                     "subscriptions",
                     {"subscription_id": "subscription_id"},
                     "subscription_id not found in silver_subscriptions",
-                    unique=True,
                 )
             ]
         ),
@@ -396,7 +393,6 @@ LICENSE_ALLOCATIONS = EntityPlan(
                     "license_keys",
                     {"license_id": "license_id"},
                     "license_id not found in silver licenses",
-                    unique=True,
                 )
             ],
             rules=[within("seat_number", 1, 550)],
@@ -430,7 +426,7 @@ SUPPORT_TICKETS = EntityPlan(
         ),
         Latest(["ticket_id", "created_at"], message="duplicate ticket_id"),
         References(
-            [Reference("users", {"user_id": "user_id"}, "user_id not found in silver users", unique=True)]
+            [Reference("users", {"user_id": "user_id"}, "user_id not found in silver users")]
         ),
     ],
     merge_keys=["ticket_id"],
@@ -480,13 +476,12 @@ def usage_events_plan(payload_schema: str = PAYLOAD_SCHEMA) -> EntityPlan:
             Latest(["event_id", "event_timestamp"], message="duplicate event_id"),
             References(
                 [
-                    Reference("users", {"user_id": "user_id"}, "user_id not found in silver users", unique=True),
+                    Reference("users", {"user_id": "user_id"}, "user_id not found in silver users"),
                     Reference(
                         "subscriptions",
                         {"subscription_id": "subscription_id"},
                         "subscription_id not found in silver subscriptions",
                         optional=True,
-                        unique=True,
                     ),
                 ]
             ),
@@ -521,7 +516,7 @@ OPTIONAL = {
     "products": [Check([one_of("category", PRODUCT_CATEGORIES)])],
     "users": [Check([_EMAIL])],
     "subscriptions": [
-        References([Reference("plans", {"plan_id": "plan_id"}, "plan_id not found in silver plans", unique=True)])
+        References([Reference("plans", {"plan_id": "plan_id"}, "plan_id not found in silver plans")])
     ],
     "subscription_changes": [
         References(
@@ -530,7 +525,6 @@ OPTIONAL = {
                     "subscriptions",
                     {"subscription_id": "subscription_id"},
                     "subscription_id not found in silver subscriptions",
-                    unique=True,
                 )
             ]
         )

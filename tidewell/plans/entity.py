@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from tidewell.operators.dedup import latest
 from tidewell.operators.quality import envelope, quality_report
 from tidewell.operators.upsert import merge_frames
-from tidewell.plans.steps import FAILED, Context, alive, unmarked
+from tidewell.plans.steps import FAILED, Context, Latest, alive, unmarked
+
+SUPERSEDED = "superseded by a newer row of the key"
 
 
 @dataclass(frozen=True)
@@ -61,11 +63,13 @@ class EntityPlan:
     def audited(self, raw: DataFrame, context: Context) -> DataFrame:
         """Every row, with the reasons for which it was rejected."""
         rows = unmarked(raw)
-        for step in self.steps:
+        last = Latest(self.batch_key or self.merge_keys, self.newest, SUPERSEDED)
+        for step in [*self.steps, last]:
             rows = step.audit(rows, context)
         return rows
 
     def accepted(self, audited: DataFrame) -> DataFrame:
+        """The rows that ``batch`` gives, one per key."""
         return self._shaped(audited.filter(alive()))
 
     def quarantine(self, audited: DataFrame, batch_id: str = "") -> DataFrame:

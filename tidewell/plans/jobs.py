@@ -5,28 +5,33 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.references import lacking_reference
-from tidewell.operators.upsert import BUCKET, upsert_path
+from tidewell.operators.upsert import upsert_path
 from tidewell.plans.entities import ENTITIES
 from tidewell.plans.entity import EntityPlan
 from tidewell.plans.steps import Context
-from tidewell.session import settle
+from tidewell.session import settling
 from tidewell.sources import jdbc
 from tidewell.sources.files import load_seed
 from tidewell.sources.lake import (
+    BUCKET,
+    append,
     append_unless_empty,
+    list_folders,
+    load_mark,
     overwrite,
     path_exists,
     read_lake,
     read_or_none,
+    store_mark,
 )
-from tidewell.sources.lineage import INGEST_DAY, canonical_lineage, stamp_bronze, stamp_landing
-from tidewell.sources.watermark import EPOCH, high_watermark, rows_after
+from tidewell.sources.lineage import INGEST_DAY, LANDING_LOAD, canonical_lineage, stamp_bronze, stamp_landing
+from tidewell.sources.watermark import EPOCH, high_watermark, rows_not_held
 
 log = logging.getLogger(__name__)
 
@@ -38,14 +43,18 @@ class Outcome:
     entity: str
     status: str
     detail: str = ""
+    rows: int | None = None
 
 
-def run_each(names: Sequence[str], job: Callable[[str], bool]) -> list[Outcome]:
-    """Run a job for each name; one failure does not stop the others."""
+def run_each(names: Sequence[str], job: Callable[[str], int]) -> list[Outcome]:
+    """Run a job, which returns its number of rows, for each name; one failure
+    does not stop the others."""
     outcomes = []
     for name in names:
         try:
-            outcomes.append(Outcome(name, "loaded" if job(name) else "nothing new"))
+            done = int(job(name))
+            log.info("job for %s: %s rows", name, done)
+            outcomes.append(Outcome(name, "loaded" if done else "nothing new", rows=done))
         except Exception as error:  # noqa: BLE001 - reported, not swallowed
             log.exception("job for %s failed", name)
             outcomes.append(Outcome(name, "failed", str(error).splitlines()[0]))
@@ -53,17 +62,31 @@ def run_each(names: Sequence[str], job: Callable[[str], bool]) -> list[Outcome]:
 
 
 def outcome_table(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
-    rows = [(o.entity, o.status, o.detail) for o in outcomes]
-    return spark.createDataFrame(rows, "entity string, status string, detail string")
+    rows = [(o.entity, o.status, o.detail, o.rows) for o in outcomes]
+    return spark.createDataFrame(rows, "entity string, status string, detail string, rows long")
 
 
-def _bronze_watermark(spark: SparkSession, bronze: str, watermark: str):
+def ingest_days(spark: SparkSession, bronze: str) -> list[date]:
+    """The days a bronze table has folders for, found by listing it."""
+    names = [f.rpartition("=")[2] for f in list_folders(spark, bronze, f"{INGEST_DAY}=")]
+    return sorted(date.fromisoformat(n) for n in names if n[:1].isdigit())
+
+
+def _missing_in_bronze(spark: SparkSession, bronze: str, watermark: str, rows_from: Callable) -> DataFrame:
+    """Rows of a source that bronze lacks; ``rows_from`` reads it from a watermark on.
+
+    Of bronze only the last day's folder is read, and that of rows without a stamp.
+    """
     table = read_or_none(spark, bronze, evolving=True)
-    by_day = table is not None and INGEST_DAY in table.columns
-    return high_watermark(table, watermark, within=INGEST_DAY if by_day else None)
+    if table is not None and INGEST_DAY in table.columns:
+        days = ingest_days(spark, bronze)
+        last = F.col(INGEST_DAY) == F.lit(days[-1]) if days else F.lit(False)
+        table = table.filter(last | F.col(INGEST_DAY).isNull())
+    mark = high_watermark(table, watermark)
+    return rows_not_held(rows_from(mark), table, watermark, mark)
 
 
-def _append_bronze(spark: SparkSession, rows: DataFrame, bronze: str, watermark: str) -> bool:
+def _append_bronze(spark: SparkSession, rows: DataFrame, bronze: str, watermark: str) -> int:
     """Append in folders per ingest day, so that the next run finds its watermark
     in the last folder alone.  A table kept without such folders stays so."""
     table = read_or_none(spark, bronze, evolving=True)
@@ -75,10 +98,11 @@ def _append_bronze(spark: SparkSession, rows: DataFrame, bronze: str, watermark:
 
 def landing_to_bronze(
     spark: SparkSession, landing: str, bronze: str, watermark: str = "dw_ingested_at"
-) -> bool:
-    """Append the landing rows past the bronze watermark; False if there are none."""
-    mark = _bronze_watermark(spark, bronze, watermark)
-    fresh = rows_after(read_lake(spark, landing, evolving=True), watermark, mark)
+) -> int:
+    """Append the landing rows that bronze lacks, from its watermark on; returns
+    their number.  Rows with the stamp of the watermark or with none are compared."""
+    landed = read_lake(spark, landing, evolving=True).drop(LANDING_LOAD)
+    fresh = _missing_in_bronze(spark, bronze, watermark, lambda mark: landed)
     return _append_bronze(spark, fresh, bronze, watermark)
 
 
@@ -91,10 +115,15 @@ def jdbc_to_bronze(
     watermark: str = "dw_ingested_at",
     slices: jdbc.Slices | None = None,
     at: datetime | None = None,
-) -> bool:
-    """Append the database rows past the bronze watermark, stamped."""
-    mark = _bronze_watermark(spark, bronze, watermark)
-    fresh = jdbc.read_after(spark, connection, table, watermark, mark, slices)
+) -> int:
+    """Append the database rows that bronze lacks, from its watermark on, stamped;
+    returns their number."""
+    fresh = _missing_in_bronze(
+        spark,
+        bronze,
+        watermark,
+        lambda mark: jdbc.read_after(spark, connection, table, watermark, mark, slices, inclusive=True),
+    )
     return _append_bronze(spark, stamp_bronze(fresh, batch_id, table, at), bronze, watermark)
 
 
@@ -109,17 +138,25 @@ def copy_table(
     column: str = "created_at",
     slices: jdbc.Slices | None = None,
     at: datetime | None = None,
+    state: str | None = None,
 ) -> None:
     """Copy new rows from one database to another.
 
-    Rows with the stamp of the watermark are read again and those the target
-    already holds are left out by key.
+    Rows from the watermark on are read again and those the target already holds
+    are left out by key.  The watermark is the source's highest stamp before the
+    last copy that succeeded, kept in the folder ``state``: the target's own
+    highest stamp may lie above rows that a broken copy never wrote.  Without
+    ``state`` all rows are compared.
     """
-    mark = jdbc.read_watermark(spark, target, target_table, column) or EPOCH
+    stored = load_mark(spark, state) if state else None
+    mark = datetime.fromisoformat(stored) if stored else EPOCH
+    reached = jdbc.read_watermark(spark, source, table, column)
     fresh = jdbc.read_after(spark, source, table, column, mark, slices, inclusive=True)
-    held = jdbc.read_after(spark, target, target_table, column, mark, inclusive=True)
+    held = jdbc.read_after(spark, target, target_table, column, mark, slices, inclusive=True)
     missing = lacking_reference(fresh, held, {k: k for k in key})
     jdbc.append_table(stamp_landing(missing, batch_id, at, table), target, target_table)
+    if state and reached is not None:
+        store_mark(spark, state, reached.isoformat())
 
 
 def seed_table(
@@ -132,9 +169,14 @@ def seed_table(
     restamp: str = "new",
 ) -> None:
     """Load a seed into a lake table."""
+    if restamp == "new":
+        # rows that are there keep their stamps, so the others are only added
+        append(load_seed(seed, None, batch_id, source, at, restamp), path)
+        return
     loaded = load_seed(seed, read_or_none(spark, path), batch_id, source, at, restamp)
-    # The table may be one of its own inputs.
-    overwrite(settle(loaded, "seed"), path)
+    with settling(spark) as settled:
+        # The table may be one of its own inputs.
+        overwrite(settled(loaded, "seed"), path)
 
 
 def publish(
@@ -145,21 +187,23 @@ def publish(
     target: str,
     quarantine: str,
     batch_id: str,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Audit raw rows once, upsert the accepted, store the rejected and return
     the quality report.  Repeating a batch leaves both tables as they are."""
-    audited = settle(plan.audited(canonical_lineage(raw), context), f"audit-{plan.name}")
-    batch = plan.reduced(plan.accepted(audited))
-    upsert_path(spark, target, batch, plan.merge_keys, plan.newer_than, buckets)
-    (
-        plan.quarantine(audited, batch_id)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(quarantine)
-    )
-    return plan.report(audited)
+    with settling(spark) as settled:
+        audited = settled(plan.audited(canonical_lineage(raw), context), f"audit-{plan.name}")
+        upsert_path(spark, target, plan.accepted(audited), plan.merge_keys, plan.newer_than, buckets, plan.newest)
+        (
+            plan.quarantine(audited, batch_id)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(quarantine)
+        )
+        report = plan.report(audited)
+        # one row per rule
+        return spark.createDataFrame(report.collect(), report.schema)
 
 
 def curated_tables(spark: SparkSession, root: str) -> Mapping[str, DataFrame]:
@@ -172,21 +216,38 @@ def curated_tables(spark: SparkSession, root: str) -> Mapping[str, DataFrame]:
     return found
 
 
+def rows_since(bronze: DataFrame, day: str | None) -> DataFrame:
+    """Bronze rows from an ingest day on; other folders are not read."""
+    if day is None or INGEST_DAY not in bronze.columns:
+        return bronze
+    since = F.col(INGEST_DAY) >= F.lit(date.fromisoformat(day))
+    return bronze.filter(since | F.col(INGEST_DAY).isNull())
+
+
 def curate_all(
     spark: SparkSession,
     root: str,
     batch_id: str,
     as_of=None,
     names: Sequence[str] | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
+    whole: bool = False,
 ) -> list[Outcome]:
     """Publish the entities below ``root`` (bronze/<name> to silver/<name>) in
-    the order of their references."""
+    the order of their references.
+
+    A run reads bronze from the last ingest day of the run before on, that day
+    included, and rows without a stamp; ``whole`` reads all of it, as is needed
+    to judge rows again whose reference came later.
+    """
 
-    def one(name: str) -> bool:
-        raw = read_or_none(spark, f"{root}/bronze/{name}", evolving=True)
+    def one(name: str) -> int:
+        bronze, state = f"{root}/bronze/{name}", f"{root}/_curated/{name}"
+        raw = read_or_none(spark, bronze, evolving=True)
         if raw is None:
-            return False
+            return 0
+        days = ingest_days(spark, bronze) if INGEST_DAY in raw.columns else []
+        raw = raw if whole else rows_since(raw, load_mark(spark, state))
         report = publish(
             spark,
             ENTITIES[name],
@@ -198,6 +259,8 @@ def curate_all(
             buckets,
         )
         overwrite(report, f"{root}/quality/{name}/batch_id={batch_id}")
-        return True
+        if days:
+            store_mark(spark, state, days[-1].isoformat())
+        return sum(r["row_count"] for r in report.collect() if r["measure"] in ("accepted rows", "rejected rows"))
 
     return run_each(names or list(ENTITIES), one)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +20,8 @@ RUNTIME_SETTINGS = {
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# One shuffle partition should hold about this much; AQE merges smaller ones.
-SHUFFLE_PARTITION_BYTES = 256 << 20
-MAX_SHUFFLE_PARTITIONS = 32_768
+# Shuffles start with this many partitions; AQE merges those that turn out small.
+INITIAL_PARTITIONS = "8192"
 
 
 def build_session(
@@ -35,6 +36,10 @@ def build_session(
     fixed = {
         **RUNTIME_SETTINGS,
         "spark.ui.enabled": "false",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": INITIAL_PARTITIONS,
+        # With that many partitions map tasks report mean block sizes only; large
+        # blocks must still be told, or AQE would not see a hot key.
+        "spark.shuffle.accurateBlockSkewedFactor": "5.0",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         # Building plans of many columns is several times faster without the
         # call site of every expression.
@@ -53,27 +58,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate for a plan, or None where it is not reachable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except AttributeError:  # Spark Connect has no JVM handle
-        return None
-
-
-def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Let shuffles of large inputs start with enough partitions.
-
-    The default partition count is kept for small inputs, and a count chosen
-    by the user is never lowered.  AQE merges what turns out too small.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    wanted = min(MAX_SHUFFLE_PARTITIONS, input_bytes // SHUFFLE_PARTITION_BYTES)
-    current = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set(key, str(wanted))
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -98,7 +82,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a plan once to the shared folder and go on from there, so that its
     several outputs neither repeat it nor depend on the executors that ran it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return _written(df, scratch_path(df.sparkSession, label))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any Hadoop file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def settling(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``settle`` for the length of a job, which deletes its folders at the end.
+
+    Frames made from them must have been written by then.
+    """
+    paths: list[str] = []
+
+    def settled(df: DataFrame, label: str) -> DataFrame:
+        paths.append(scratch_path(spark, label))
+        return _written(df, paths[-1])
+
+    try:
+        yield settled
+    finally:
+        for path in paths:
+            remove_path(spark, path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -13,6 +14,9 @@ from tidewell.operators.quality import union_all
 from tidewell.sources.lineage import stamp_landing
 
 
+log = logging.getLogger(__name__)
+
+
 def changed_files(
     spark: SparkSession, path: str, schema: StructType | str, after: datetime | None = None
 ) -> DataFrame:
@@ -55,18 +59,22 @@ def _first_like(columns: Sequence[str], word: str) -> str | None:
     return next((c for c in columns if word in c.lower()), None)
 
 
-def ticket_texts(frames: Sequence[DataFrame]) -> DataFrame:
+def ticket_texts(frames: Sequence[DataFrame], skipped: list[tuple[int, str]] | None = None) -> DataFrame:
     """Description and kind of tickets from files with unlike headers.
 
     The description is the first column whose name contains that word, the kind
-    is called category or type; files without a description are left out.
+    the first whose name contains category or type.  Frames without a
+    description are added to ``skipped``, by number and reason.
     """
     found = []
-    for frame in frames:
+    for number, frame in enumerate(frames):
         description = _first_like(frame.columns, "description")
         if description is None:
+            log.warning("frame %s has no description column among %s", number, frame.columns)
+            if skipped is not None:
+                skipped.append((number, "no description column"))
             continue
-        kind = next((c for c in frame.columns if c.lower() in ("category", "type")), None)
+        kind = next((c for c in frame.columns if "category" in c.lower() or "type" in c.lower()), None)
         kind_value: Column = F.col(f"`{kind}`") if kind else F.lit(None)
         found.append(
             frame.select(
@@ -82,10 +90,10 @@ def ticket_texts(frames: Sequence[DataFrame]) -> DataFrame:
 def read_csv_set(
     spark: SparkSession, paths: Sequence[str], multi_line: bool = False
 ) -> list[DataFrame]:
-    """One frame per path, all text; unreadable files give no rows.
+    """One frame per path, all text; a file that cannot be read fails the read.
 
     ``multi_line`` allows line breaks inside values, at the price that a file
     is read by one task.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line)
-    return [reader.option("ignoreCorruptFiles", True).csv(p) for p in paths]
+    return [reader.csv(p) for p in paths]

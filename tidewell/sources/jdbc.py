@@ -44,15 +44,28 @@ class Slices:
         }
 
 
+def timestamp_literal(watermark: datetime, url: str = "") -> str:
+    """A timestamp as the database of a JDBC address writes it."""
+    stamp = watermark.isoformat(sep=" ")
+    if url.startswith("jdbc:sqlserver:"):
+        return f"CAST('{watermark.isoformat()}' AS datetime2)"
+    return f"TIMESTAMP '{stamp}'"
+
+
 def incremental_query(
-    table: str, column: str, watermark: datetime | None, inclusive: bool = False
+    table: str, column: str, watermark: datetime | None, inclusive: bool = False, url: str = ""
 ) -> str:
-    """A subquery the database filters itself."""
+    """A subquery the database filters itself.
+
+    Rows without a stamp come with every inclusive read, as no watermark can
+    tell whether they were read before.
+    """
     if watermark is None:
         return f"(SELECT * FROM {table}) t"
-    stamp = watermark.isoformat(sep=" ")
-    sign = ">=" if inclusive else ">"
-    return f"(SELECT * FROM {table} WHERE {column} {sign} TIMESTAMP '{stamp}') t"
+    literal = timestamp_literal(watermark, url)
+    if inclusive:
+        return f"(SELECT * FROM {table} WHERE {column} >= {literal} OR {column} IS NULL) t"
+    return f"(SELECT * FROM {table} WHERE {column} > {literal}) t"
 
 
 def watermark_query(table: str, column: str) -> str:
@@ -82,7 +95,7 @@ def read_after(
     slices: Slices | None = None,
     inclusive: bool = False,
 ) -> DataFrame:
-    query = incremental_query(table, column, watermark, inclusive)
+    query = incremental_query(table, column, watermark, inclusive, connection.url)
     return read_table(spark, connection, query, slices)
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +38,64 @@ def store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
 SCHEMA_FOLDER = "_schema"
 
 
+# Beside the data of a table that is upserted: which load each bucket is read from.
+LOADS_FOLDER = "_loads"
+LOAD, BUCKET = "load", "merge_bucket"
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """State of an upserted table; ``loads`` names the load of each bucket that has rows."""
+
+    version: int
+    buckets: int
+    keys: list[str]
+    loads: Mapping[int, str]
+
+    def after(self, changed: Mapping[int, str]) -> Loaded:
+        return Loaded(self.version + 1, self.buckets, self.keys, {**self.loads, **changed})
+
+
+def current_load(spark: SparkSession, path: str) -> Loaded | None:
+    """The newest state of an upserted table, None for other tables."""
+    store = f"{path}/{LOADS_FOLDER}"
+    if not path_exists(spark, store):
+        return None
+    newest = spark.read.schema(_STORED).json(store).agg(F.max_by("body", "version")).first()[0]
+    if newest is None:
+        return None
+    state = json.loads(newest)
+    return Loaded(state["version"], state["buckets"], state["keys"], {int(b): name for b, name in state["loads"].items()})
+
+
+def commit_load(spark: SparkSession, path: str, state: Loaded) -> None:
+    """Make a state the newest one: one small file, which appears whole or not at all."""
+    body = json.dumps(asdict(state))
+    row = spark.createDataFrame([(state.version, body)], _STORED)
+    row.coalesce(1).write.mode("append").json(f"{path}/{LOADS_FOLDER}")
+
+
+def list_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Folders right below a path whose name has a prefix."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return [f"{path}/{s.getPath().getName()}" for s in found if s.getPath().getName().startswith(prefix)]
+
+
 def read_lake(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
     """Read a table; ``evolving`` unites the schemas of all its files.
 
     A schema kept with the table is used as it is, without opening files.
     """
     stored = load_schema(spark, f"{path}/{SCHEMA_FOLDER}")
+    state = current_load(spark, path)
+    if state is not None:
+        if not state.loads:
+            return spark.createDataFrame([], stored)
+        folders = [f"{path}/{LOAD}={load}" for load in sorted(set(state.loads.values()))]
+        named = F.create_map(*[F.lit(x) for pair in state.loads.items() for x in pair])
+        rows = spark.read.schema(stored.add(LOAD, "string")).option("basePath", path).parquet(*folders)
+        return rows.filter(F.col(LOAD) == named[F.col(BUCKET)]).drop(LOAD)
     if stored is not None:
         return spark.read.schema(stored).parquet(path)
     return spark.read.option("mergeSchema", evolving).parquet(path)
@@ -52,15 +105,15 @@ def read_or_none(spark: SparkSession, path: str, evolving: bool = False) -> Data
     return read_lake(spark, path, evolving) if path_exists(spark, path) else None
 
 
-def remember_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+def remember_schema(spark: SparkSession, path: str, schema: StructType, new: bool = False) -> None:
     """Keep the columns of a table beside it and add those that are new.
 
     Later reads need not open every file to unite their schemas.  A table that
-    was written without its schema stays so.
+    was written without its schema stays so, unless it is said to be ``new``.
     """
     store = f"{path}/{SCHEMA_FOLDER}"
     known = load_schema(spark, store)
-    if known is None and path_exists(spark, path):
+    if known is None and not new and path_exists(spark, path):
         return
     fields = {f.name: f for f in known.fields} if known else {}
     for field in schema.fields:
@@ -74,6 +127,21 @@ def remember_schema(spark: SparkSession, path: str, schema: StructType) -> None:
         store_schema(spark, store, StructType(list(fields.values())))
 
 
+def load_mark(spark: SparkSession, path: str) -> str | None:
+    """The last mark stored at a path."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(_STORED).json(path).agg(F.max_by("body", "version")).first()[0]
+
+
+def store_mark(spark: SparkSession, path: str, mark: str) -> None:
+    """Store how far a job came; call it when the job has succeeded."""
+    last = 0
+    if path_exists(spark, path):
+        last = spark.read.schema(_STORED).json(path).agg(F.max("version")).first()[0] or 0
+    spark.createDataFrame([(last + 1, mark)], _STORED).coalesce(1).write.mode("append").json(path)
+
+
 def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Append, in folders per value of ``by``; new columns are allowed."""
     remember_schema(df.sparkSession, path, df.schema)
@@ -86,12 +154,13 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_unless_empty(df: DataFrame, path: str, by: Sequence[str] = ()) -> bool:
-    """Append and say whether there was anything to write."""
-    if df.isEmpty():
-        return False
-    append(df, path, by)
-    return True
+def append_unless_empty(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
+    """Append where there is anything to write.  Returns the number of rows, which
+    are counted first, by the columns the filters need."""
+    found = df.count()
+    if found:
+        append(df, path, by)
+    return found
 
 
 def write_monthly_csv(df: DataFrame, path: str, stamp: str = "created_at") -> None:

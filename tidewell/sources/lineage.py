@@ -15,6 +15,8 @@ from tidewell.functions.casting import lenient
 
 # Partition column of bronze tables.
 INGEST_DAY = "dw_ingest_day"
+# Partition column of landing tables that streams write; it goes no further.
+LANDING_LOAD = "dw_load"
 
 TECHNICAL = ["id", "source_identifier", "batch_id"]
 

@@ -46,6 +46,29 @@ def rows_after(df: DataFrame, column: str, watermark: Any, inclusive: bool = Fal
     return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 
+def rows_not_held(rows: DataFrame, held: DataFrame | None, column: str, watermark: Any) -> DataFrame:
+    """Rows at or past the watermark, or without a stamp, that ``held`` lacks.
+
+    Late rows with the very stamp of the watermark are found.  Rows are compared
+    by all columns they have; a column that ``held`` lacks is null there.  Only
+    rows of the last stamp, or of none, can have been loaded before.
+    """
+    if held is None:
+        return rows
+    doubtful = F.col(column).isNull()
+    if watermark is not None:
+        doubtful = doubtful | (F.col(column) == F.lit(watermark))
+        rows = rows.filter((F.col(column) >= F.lit(watermark)) | F.col(column).isNull())
+    names = sorted(rows.columns)
+    known = [F.col(c) if c in held.columns else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in names]
+
+    def identity(columns):
+        return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+    before = held.filter(doubtful).select(identity(known).alias("__held"))
+    return rows.join(before, identity([F.col(c) for c in names]) == F.col("__held"), "left_anti")
+
+
 def rows_to_copy(
     source: DataFrame, target: DataFrame | None, column: str, key: Mapping[str, str]
 ) -> DataFrame:

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidewell.operators.upsert import reduce_batch, upsert_path
+from tidewell.operators.upsert import upsert_path
 from tidewell.plans.jobs import Outcome
 from tidewell.sources.lake import read_lake, remember_schema
-from tidewell.sources.lineage import stamp_landing
+from tidewell.sources.lineage import LANDING_LOAD, stamp_landing
 from tidewell.streaming.schemas import current_schema
 
 log = logging.getLogger(__name__)
@@ -81,7 +81,7 @@ def distinct_to_table(stream: DataFrame, target: str, checkpoint: str) -> Stream
 
     def write(rows: DataFrame, epoch: int) -> None:
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        folder = f"{target}/dw_load={query}-{epoch}"
+        folder = f"{target}/{LANDING_LOAD}={query}-{epoch}"
         rows.dropDuplicates().write.mode("overwrite").parquet(folder)
 
     return (
@@ -99,13 +99,12 @@ def upsert_stream(
     keys: Sequence[str],
     newest: Sequence[str],
     newer_than: str | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch; a repeated micro-batch changes nothing."""
 
     def merge(rows: DataFrame, epoch: int) -> None:
-        batch = reduce_batch(rows, keys, newest)
-        upsert_path(rows.sparkSession, target, batch, keys, newer_than, buckets)
+        upsert_path(rows.sparkSession, target, rows, keys, newer_than, buckets, newest)
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
@@ -184,4 +183,4 @@ def land_all(
 
 
 def read_landing(spark: SparkSession, drop: Drop) -> DataFrame:
-    return read_lake(spark, drop.target, evolving=True).drop("dw_load")
+    return read_lake(spark, drop.target, evolving=True).drop(LANDING_LOAD)
