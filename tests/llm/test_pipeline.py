@@ -46,4 +46,4 @@ def test_entry_points():
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}

@@ -7,20 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import chat, decontaminate, language, neardup, neighbours, packing, pii, quality, substrings, tokens
+from tidewell.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    divergence,
+    language,
+    neardup,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    substrings,
+    tokens,
+    warc,
+)
 from tidewell.llm.workers import ship
 from tidewell.session import configure
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 # A key of one's own goes here in production; the queries need a stated one.
 PSEUDONYM_KEY = "tidewell"
 
 
-def vocabulary() -> str:
-    """Place of the public vocabulary file on any machine that has the package."""
+def vocabulary(name: str = VOCABULARY) -> str:
+    """Place of a public vocabulary file on any machine that has the package."""
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -88,6 +103,21 @@ def op10_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op11_pair_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every document align, scored over the corpus."""
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary(), vocabulary(PIECES))
+
+
+def op12_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record comes back from the archives."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of every language and the terms that mark them."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,7 +131,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lsh_forest,
         op9_collision_counting,
         op10_kneser_ney_language,
+        op11_pair_bitmaps,
+        op12_warc_salvage,
+        op13_source_divergence,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_spaced_seeds": decontaminate.ORACLE_SQL.strip()}
+ORACLE_SQL: dict[str, str] = {
+    "op3_spaced_seeds": decontaminate.ORACLE_SQL.strip(),
+    "op12_warc_salvage": warc.ORACLE_SQL.strip(),
+    "op13_source_divergence": divergence.ORACLE_SQL.strip(),
+}
