@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,35 +38,68 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.bitmaps import NUMBERS, document_counts, multiplicity_planes, read_planes
-from tidewell.llm.tokens import byte_letters, cut
+from tidewell.llm.tokens import Encoder, byte_letters, cut
 from tidewell.llm.workers import slices
 from tidewell.session import settle
 
 # A container is closed at this many postings (24 bytes each while it is open).
 POSTINGS = 2_000_000
-WORDS_AT_ONCE = 60_000
+WORDS_AT_ONCE = 120_000
 # Aligned pieces a worker keeps, and their bytes.
 CACHED_PIECES = 200_000
 CACHED_BYTES = 16_000_000
 
 
+def spelled(ids: np.ndarray, table: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of a table's entries one after another."""
+    long = sizes[ids]
+    place = np.arange(long.sum()) + np.repeat(starts[ids] - (np.cumsum(long) - long), long)
+    return table[place]
+
+
+class Spelling:
+    """A table of byte strings, laid out for ``spelled``."""
+
+    def __init__(self, strings: list[bytes]):
+        self.table = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.array([len(x) for x in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        return spelled(ids, self.table, self.starts, self.sizes)
+
+
 class ByteVocabulary:
-    """A byte-level vocabulary of the ``tokenizers`` library; special strings are plain text."""
+    """A byte-level vocabulary of the ``tokenizers`` library; special strings are plain text.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    The rank encoder of ``tokens`` over the same file does the work as long as it agrees
+    with the library on samples of the pieces met: all of the first call, and every 64th.
+    """
 
+    def __init__(self, path: str):
+        self.encoder = Encoder(path)
+        self.library = self.encoder.library
+        self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         letters = byte_letters()
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.bytes = [b""] * (max(self.library.get_vocab().values()) + 1)
         for word, number in described["model"]["vocab"].items():
             self.bytes[number] = bytes(letters.get(c, 32) for c in word)
+        self.every = 1
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch([f" {p}" for p in pieces], add_special_tokens=False)]
+        pieces = [f" {p}" for p in pieces]
+        if self.encoder.ranks is not None:
+            found = list(map(self.encoder.ranks.encode_ordinary, pieces))
+            if found[:: self.every] == self.by_library(pieces[:: self.every]):
+                self.every = 64
+                return found
+            self.encoder.ranks = None
+        return self.by_library(pieces)
+
+    def by_library(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch(pieces, add_special_tokens=False)]
 
 
 class PieceVocabulary:
@@ -92,8 +126,10 @@ class Aligned(dict):
     def __init__(self, path_a: str, path_b: str):
         super().__init__()
         self.a, self.b = ByteVocabulary(path_a), PieceVocabulary(path_b)
-        self.size_a = np.array([len(x) for x in self.a.bytes], np.int64)
-        self.size_b = np.array([len(x) for x in self.b.bytes], np.int64)
+        self.spelling = [Spelling(v.bytes) for v in (self.a, self.b)]
+        # every id in decimal digits, behind them one byte for what follows it
+        most = max(len(self.a.bytes), len(self.b.bytes))
+        self.digits = Spelling([b"%d " % n for n in range(most)])
         self.empty()
 
     def empty(self) -> None:
@@ -103,7 +139,7 @@ class Aligned(dict):
         self.fails = np.empty(0, bool)
         self.codes = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
-        self.strings: list[str] = []
+        self.strings: list[bytes] = []
         self.characters = 0
 
     def __missing__(self, piece: str) -> int:
@@ -118,36 +154,33 @@ class Aligned(dict):
         """Align the pieces met since the last call."""
         if not self.new:
             return
-        ids_a, ids_b = self.a.encode(self.new), self.b.encode(self.new)
-        fails = np.zeros(len(self.new), bool)
-        for n, piece in enumerate(self.new):
-            whole = f" {piece}".encode("utf-8", "surrogatepass")
-            said = (b"".join([vocabulary.bytes[i] for i in ids[n]]) for vocabulary, ids in ((self.a, ids_a), (self.b, ids_b)))
-            if any(s != whole for s in said):
-                fails[n], ids_a[n], ids_b[n] = True, [], []
-        counts_a = np.array([len(x) for x in ids_a], np.int64)
-        counts_b = np.array([len(x) for x in ids_b], np.int64)
-        flat_a = np.array([i for x in ids_a for i in x], np.int64)
-        flat_b = np.array([i for x in ids_b for i in x], np.int64)
-        # the pieces one after another are one run of bytes
-        ends_a, ends_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
-        ends = np.union1d(ends_a, ends_b)
-        codes = flat_a[np.searchsorted(ends_a, ends)] * len(self.b.bytes) + flat_b[np.searchsorted(ends_b, ends)]
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        last_a, last_b = np.cumsum(counts_a), np.cumsum(counts_b)
-        piece_ends = np.concatenate([[0], ends_a])[last_a]
-        links = np.diff(np.searchsorted(ends, piece_ends, "right"), prepend=0)
-        groups = np.diff(np.searchsorted(both, piece_ends, "right"), prepend=0)
-        cuts_a = np.searchsorted(ends_a, both, "right").tolist()
-        cuts_b = np.searchsorted(ends_b, both, "right").tolist()
-        names_a, names_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        at_a = at_b = 0
-        written = []
-        for to_a, to_b in zip(cuts_a, cuts_b):
-            written.append(f"{','.join(names_a[at_a:to_a])}|{','.join(names_b[at_b:to_b])}")
-            at_a, at_b = to_a, to_b
-        ends_of = np.cumsum(groups).tolist()
-        self.strings += [";".join(written[end - n : end]) for end, n in zip(ends_of, groups.tolist())]
+        wholes = [f" {p}".encode("utf-8", "surrogatepass") for p in self.new]
+        whole = np.frombuffer(b"".join(wholes), np.uint8)
+        ends_of = np.cumsum([len(w) for w in wholes])
+        fails = np.zeros(len(wholes), bool)
+        tokens = []
+        for vocabulary, spelling in zip((self.a, self.b), self.spelling):
+            ids = vocabulary.encode(self.new)
+            counts = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, counts.sum())
+            fails |= self._unlike(flat, counts, spelling, whole, ends_of)
+            tokens.append((flat, counts))
+        # the pieces that both give back, one after another, are one run of bytes
+        (flat_a, counts_a), (flat_b, counts_b) = ((f[~np.repeat(fails, c)], np.where(fails, 0, c)) for f, c in tokens)
+        ends_a, ends_b = (np.cumsum(spelling.sizes[f]) for spelling, f in zip(self.spelling, (flat_a, flat_b)))
+        piece_ends = np.concatenate([[0], ends_a])[np.cumsum(counts_a)]
+        # every place where a token ends, and where tokens of both end
+        marks = np.zeros(int(piece_ends[-1]) + 1, np.int8)
+        marks[ends_a] += 1
+        marks[ends_b] += 1
+        ends, both = np.flatnonzero(marks), np.flatnonzero(marks == 2)
+        after_a, after_b = (np.cumsum(marks_of) for marks_of in (self._ends(marks, ends_a), self._ends(marks, ends_b)))
+        codes = flat_a[after_a[ends - 1]] * len(self.b.bytes) + flat_b[after_b[ends - 1]]
+        upto = np.cumsum(marks > 0)[piece_ends]
+        links = np.diff(upto, prepend=0)
+        upto = np.cumsum(marks == 2)[piece_ends]
+        groups = np.diff(upto, prepend=0)
+        self.strings += self._written(flat_a, flat_b, after_a[both], after_b[both], upto)
         self.starts = np.concatenate([self.starts, len(self.codes) + np.cumsum(links) - links])
         self.codes = np.concatenate([self.codes, codes])
         self.sizes = np.concatenate([self.sizes, np.stack([counts_a, counts_b, groups, links], 1)])
@@ -155,6 +188,45 @@ class Aligned(dict):
         self.characters += sum(map(len, self.new))
         self.new = []
 
+    @staticmethod
+    def _ends(marks: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        own = np.zeros(len(marks), np.int64)
+        own[ends] = 1
+        return own
+
+    @staticmethod
+    def _unlike(flat: np.ndarray, counts: np.ndarray, spelling: Spelling, whole: np.ndarray, ends_of: np.ndarray) -> np.ndarray:
+        """Which pieces' tokens do not spell their bytes."""
+        ends = np.concatenate([[0], np.cumsum(spelling.sizes[flat])])[np.cumsum(counts)]
+        long = np.diff(ends, prepend=0)
+        wanted = np.diff(ends_of, prepend=0)
+        fails = long != wanted
+        said = spelling.of(flat)[~np.repeat(fails, long)]
+        same = said == whole[~np.repeat(fails, wanted)]
+        if not same.all():
+            owner = np.repeat(np.flatnonzero(~fails), wanted[~fails])
+            fails[owner[~same]] = True
+        return fails
+
+    def _written(self, flat_a: np.ndarray, flat_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray, upto: np.ndarray) -> list[bytes]:
+        """The groups of every piece: ids of A, a bar, ids of B; semicolons between groups."""
+        sizes_a, sizes_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        before = np.cumsum(sizes_a + sizes_b) - sizes_a - sizes_b
+        ids = np.empty(len(flat_a) + len(flat_b), np.int64)
+        place_a = np.arange(len(flat_a)) + np.repeat(before - (cuts_a - sizes_a), sizes_a)
+        place_b = np.arange(len(flat_b)) + np.repeat(before + sizes_a - (cuts_b - sizes_b), sizes_b)
+        ids[place_a], ids[place_b] = flat_a, flat_b
+        text = self.digits.of(ids)
+        last = np.cumsum(self.digits.sizes[ids])
+        text[last - 1] = ord(",")
+        text[last[before + sizes_a - 1] - 1] = ord("|")
+        closing = last[before + sizes_a + sizes_b - 1]
+        text[closing - 1] = ord(";")
+        ends = np.concatenate([[0], closing])[upto].tolist()
+        joined = text.tobytes()
+        # without the semicolon behind the last group
+        return [joined[begin : max(begin, end - 1)] for begin, end in zip([0, *ends], ends)]
+
     def rest(self) -> None:
         """Call between groups of documents."""
         if len(self) > CACHED_PIECES or self.characters > CACHED_BYTES:
@@ -167,7 +239,7 @@ class Aligned(dict):
         self.fill()
         numbers = [n if not self.fails[n].any() else n[:0] for n in numbers]
         hashes = [
-            hashlib.sha256(";".join(map(self.strings.__getitem__, n.tolist())).encode()).hexdigest() if len(n) else "" for n in numbers
+            hashlib.sha256(b";".join(map(self.strings.__getitem__, n.tolist()))).hexdigest() if len(n) else "" for n in numbers
         ]
         flat = np.concatenate([np.empty(0, np.int64), *numbers])
         owner = np.repeat(np.arange(len(texts)), [len(n) for n in numbers])
