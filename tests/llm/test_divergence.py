@@ -2,9 +2,9 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from cases import awkward, documents
-from pyspark.sql import functions as F
 
 from tidewell.llm import divergence, queries
 
@@ -54,8 +54,8 @@ def test_equals_plain_integers(spark, least):
 
 def test_colliding_digests_are_split(spark):
     rows = sourced()
-    few = lambda term: F.pmod(F.xxhash64(term), F.lit(7))
-    assert rows_of(divergence.audit(documents(spark, rows), 3, 4, few)) == brute(rows, 3, 4)
+    assert rows_of(divergence.audit(documents(spark, rows), 3, 4, lambda term: len(term) % 7)) == brute(rows, 3, 4)
+    assert rows_of(divergence.audit(documents(spark, rows), 3, 4, lambda term: (1 << 64) - 1)) == brute(rows, 3, 4)
 
 
 def test_tiles_and_blocks_give_the_same(spark, monkeypatch):
@@ -68,6 +68,7 @@ def test_tiles_and_blocks_give_the_same(spark, monkeypatch):
 def test_full_counters_are_flushed(spark, monkeypatch):
     rows = sourced()
     monkeypatch.setattr(divergence, "COUNTED_PER_TASK", 20)
+    monkeypatch.setattr(divergence, "GATHERED_PER_TASK", 50)
     assert rows_of(divergence.audit(documents(spark, rows), 3, 4)) == brute(rows, 3, 4)
 
 
@@ -78,10 +79,22 @@ def test_nothing_and_groups_without_terms(spark):
     assert len(brute(rows, 10, 10)) == 6
 
 
+def test_a_full_table_lets_all_terms_through(spark, monkeypatch):
+    rows = sourced()
+    monkeypatch.setattr(divergence, "SIEVE_BITS", 6)
+    assert rows_of(divergence.audit(documents(spark, rows), 3, 4)) == brute(rows, 3, 4)
+
+
+def test_the_table_holds_what_is_marked(spark):
+    digests = [0, 1, 63, 64, -1, 1 << 40, -(1 << 63), 12345678901234567]
+    table = divergence.sieve(spark.createDataFrame([(d,) for d in digests], "digest long"))
+    assert divergence.passes(np.array(digests), table).all()
+    assert sum(bin(w & (1 << 64) - 1).count("1") for w in table.tolist()) == len({d % (1 << 26) for d in digests})
+
+
 def test_counting_shuffles_no_string(spark):
-    found = divergence.occurrences(documents(spark, sourced()))
-    counted = found.groupBy("lang", "source", "digest").agg(F.sum("n"))
-    assert "term#" not in counted._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+    plan = divergence.candidates(documents(spark, sourced()))._jdf.queryExecution().executedPlan().toString()
+    assert "lang#" in plan and "term" not in plan and "text#" not in plan.split("MapInArrow")[0]
 
 
 def test_sql_says_the_same_of_null_and_clashing_columns(spark):

@@ -1,10 +1,13 @@
 """Divergence of a language's sources by exact term shares, with terms as digests.
 
-Tasks count the terms of their texts per (lang, source) in bounded memory and write the
-counts once, each with the term and its 64-bit digest.  Counting reads, shuffles and joins
-the digests only.  The digests whose terms are kept then read their strings: where the
-least and the greatest string of a digest differ, terms collide, and the digest is split
-into one part per string.  Strings are joined back to the terms that are reported.
+A first pass counts the documents of every (language, 64-bit digest of a term); nothing
+but these fixed-width rows is shuffled.  The digests that enough documents hold mark the
+bits of a table of fixed size.  A second pass counts the terms that the table lets through
+per (lang, source), in bounded memory, and writes the counts once with the term and its
+digest.  Again counting reads, shuffles and joins digests only.  The digests whose terms are
+kept then read their strings: where the least and the greatest string of a digest
+differ, terms collide, and the digest is split into one part per string.  Strings are
+joined back to the terms that are reported.
 
 Null text, lang and source are ''.  A term is a run of ASCII letters and of characters
 beyond ASCII, with A-Z in lower case.  A language keeps the terms that at least ``least``
@@ -19,11 +22,12 @@ bounded size, so neither a hot source nor many sources meet in one task.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +38,11 @@ LEAST_DOCUMENTS = 10
 RANKS = 10
 BILLION = 1_000_000_000
 COUNTED_PER_TASK = 300_000
+# Digests that a task gathers before it counts them.
+GATHERED_PER_TASK = 4_000_000
+# The table of digests that may be kept has 2^SIEVE_BITS bits (8 MB) at any size; where
+# the kept terms fill it, more rows pass and nothing is lost.
+SIEVE_BITS = 26
 # Terms of a block and sources of a tile; a matrix has at most twice their product of cells.
 BLOCK_TERMS = 4_096
 TILE_SOURCES = 256
@@ -48,43 +57,108 @@ _IN_TERMS = bytes(
 )
 
 
-def occurrences(docs: DataFrame, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """lang, source, term, digest, n, documents per task; a null term marks a group that occurs."""
+def _read(docs: DataFrame, *columns: str) -> DataFrame:
+    """Text as bytes and the named columns, nulls as ''."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]
+    return docs.select(F.col("text").cast("string").cast("binary"), *named)
+
+
+def _digests(terms: Iterable[bytes], digest: Callable[[bytes], int]) -> np.ndarray:
+    return np.fromiter(map(digest, terms), np.uint64).view(np.int64)
+
+
+def candidates(docs: DataFrame, least: int = LEAST_DOCUMENTS, digest: Callable[[bytes], int] = xxhash.xxh64_intdigest) -> DataFrame:
+    """The digests that at least ``least`` documents of a language hold."""
 
     def count(batches):
-        groups: dict[tuple, tuple[Counter, Counter]] = {}
+        gathered: dict[str, list[np.ndarray]] = {}
         size = 0
 
         def flushed():
-            for (lang, source), (n, held) in groups.items():
-                terms = [None, *n]
-                columns = [pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string())]
-                columns += [pa.array(terms, pa.binary()), pa.array([0, *n.values()], pa.int64())]
-                columns.append(pa.array([0, *map(held.__getitem__, n)], pa.int64()))
-                yield pa.record_batch(columns, ["lang", "source", "term", "n", "documents"])
+            for lang, found in gathered.items():
+                digests, held = np.unique(np.concatenate(found), return_counts=True)
+                columns = [pa.array([lang] * len(digests), pa.string()), pa.array(digests), pa.array(held, pa.int64())]
+                yield pa.record_batch(columns, ["lang", "digest", "documents"])
+
+        for batch in slices(batches):
+            for text, lang in zip(*(c.to_pylist() for c in batch.columns)):
+                # terms of one document whose digests collide count once
+                found = np.unique(_digests(set((text or b"").translate(_IN_TERMS).split()), digest))
+                gathered.setdefault(lang, []).append(found)
+                size += len(found)
+                if size > GATHERED_PER_TASK:
+                    yield from flushed()
+                    gathered, size = {}, 0
+        yield from flushed()
+
+    counted = _read(docs, "lang").mapInArrow(count, "lang string, digest long, documents long")
+    held = counted.groupBy("lang", "digest").agg(F.sum("documents").alias("documents"))
+    return held.where(F.col("documents") >= least).select("digest").distinct()
+
+
+def sieve(digests: DataFrame) -> np.ndarray:
+    """A table of bits, 64 to a number, in which every digest's bit is set."""
+    bit = F.pmod(F.col("digest"), F.lit(1 << SIEVE_BITS))
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    words = digests.select(F.call_function("div", bit, F.lit(64)).alias("word"), mark.alias("mark"))
+    marked = words.groupBy("word").agg(F.bit_or("mark").alias("marks")).toArrow()
+    table = np.zeros(1 << SIEVE_BITS - 6, np.int64)
+    table[marked["word"].to_numpy()] = marked["marks"].to_numpy()
+    return table
+
+
+def passes(digests: np.ndarray, table: np.ndarray) -> np.ndarray:
+    bit = digests & (64 * len(table) - 1)
+    return (table[bit >> 6] >> (bit & 63) & 1).astype(bool)
+
+
+def occurrences(docs: DataFrame, table: np.ndarray, digest: Callable[[bytes], int] = xxhash.xxh64_intdigest) -> DataFrame:
+    """lang, source, term, digest, n, documents per task of the terms that pass the table.
+
+    A null term marks a group that occurs.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def count(batches):
+        groups: dict[tuple, tuple[Counter, Counter]] = {}
+        size = 0
+
+        def passing():
+            """Terms, digests and counts of every group; other terms are forgotten."""
+            for key, (n, held) in list(groups.items()):
+                terms = list(n)
+                digests = _digests(terms, digest)
+                kept = np.flatnonzero(passes(digests, shared.value))
+                terms = [terms[k] for k in kept.tolist()]
+                groups[key] = Counter({t: n[t] for t in terms}), Counter({t: held[t] for t in terms})
+                yield key, terms, digests[kept]
+
+        def flushed(found):
+            for (lang, source), terms, digests in found:
+                n, held = groups[lang, source]
+                columns = [pa.array([x] * (len(terms) + 1), pa.string()) for x in (lang, source)]
+                columns += [pa.array([None, *terms], pa.binary()), pa.array([None, *digests.tolist()], pa.int64())]
+                columns += [pa.array([0, *map(c.__getitem__, terms)], pa.int64()) for c in (n, held)]
+                yield pa.record_batch(columns, ["lang", "source", "term", "digest", "n", "documents"])
 
         for batch in slices(batches):
             for text, lang, source in zip(*(c.to_pylist() for c in batch.columns)):
-                key = lang, source
-                if key not in groups:
-                    groups[key] = Counter(), Counter()
-                n, held = groups[key]
+                n, held = groups.setdefault((lang, source), (Counter(), Counter()))
                 size -= len(n)
                 terms = (text or b"").translate(_IN_TERMS).split()
                 n.update(terms)
                 held.update(set(terms))
                 size += len(n)
                 if size + len(groups) > COUNTED_PER_TASK:
-                    yield from flushed()
-                    groups, size = {}, 0
-        yield from flushed()
+                    found = list(passing())
+                    size = sum(len(terms) for _, terms, _ in found)
+                    if size + len(groups) > COUNTED_PER_TASK // 2:
+                        yield from flushed(found)
+                        groups, size = {}, 0
+        yield from flushed(passing())
 
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in GROUP]
-    counted = docs.select(F.col("text").cast("string").cast("binary"), *named).mapInArrow(
-        count, "lang string, source string, term binary, n long, documents long"
-    )
-    term = F.col("term").cast("string")
-    return counted.select(*GROUP, term.alias("term"), F.when(term.isNotNull(), digest(term)).alias("digest"), "n", "documents")
+    counted = _read(docs, *GROUP).mapInArrow(count, "lang string, source string, term binary, digest long, n long, documents long")
+    return counted.withColumn("term", F.col("term").cast("string"))
 
 
 def _kept(counts: DataFrame, least: int) -> DataFrame:
@@ -95,7 +169,7 @@ def _kept(counts: DataFrame, least: int) -> DataFrame:
 def term_counts(found: DataFrame, least: int = LEAST_DOCUMENTS) -> tuple[DataFrame, DataFrame]:
     """Counts of every group's terms by (digest, part), and the term of every candidate."""
     exact = [F.sum(F.col(c).cast(_COUNT)).cast(_COUNT).alias(c) for c in ("n", "documents")]
-    # only fixed-width digests take part: the strings stay in the written table
+    # only fixed-width digests take part; the strings stay in the written table
     whole = found.where(F.col("digest").isNotNull())
     counts = settle(whole.groupBy(*GROUP, "digest").agg(*exact).withColumn("part", F.lit(0)), "digest-counts")
     candidates = _kept(counts, least).select("digest").distinct()
@@ -175,9 +249,12 @@ def _pair_sums(shares: DataFrame, groups: DataFrame) -> DataFrame:
     return partial.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
-def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = RANKS, digest: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+def audit(
+    docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = RANKS, digest: Callable[[bytes], int] = xxhash.xxh64_intdigest
+) -> DataFrame:
     """lang, source, part, item, value, rank: distances of sources and the terms that mark them."""
-    found = settle(occurrences(docs, digest), "term-occurrences")
+    table = sieve(candidates(docs, least, digest))
+    found = settle(occurrences(docs, table, digest), "term-occurrences")
     counts, names = term_counts(found, least)
     kept = settle(_kept(counts, least), "kept-terms")
     inside = settle(counts.join(kept, ["lang", *TERM]).select(*GROUP, *TERM, "n", "n_lang"), "kept-counts")
