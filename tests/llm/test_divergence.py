@@ -72,6 +72,11 @@ def test_full_counters_are_flushed(spark, monkeypatch):
     assert rows_of(divergence.audit(documents(spark, rows), 3, 4)) == brute(rows, 3, 4)
 
 
+def test_counts_beyond_what_a_product_holds():
+    big = np.array([0, 5, 1 << 60])
+    assert divergence.share(big, 1 << 61, 3).tolist() == [10**9 * (n + 2) // ((1 << 61) + 6) + 1 for n in big.tolist()]
+
+
 def test_nothing_and_groups_without_terms(spark):
     assert rows_of(divergence.audit(documents(spark, []))) == []
     rows = [(1, None, "en", s, 0, "", "", "", "") for s in ("a", "b", None)]
