@@ -189,7 +189,8 @@ def block_counts(docs: DataFrame, table: np.ndarray, bits: int, digest: Digest)
             order = np.argsort(digests, kind="stable")
             digests = digests[order]
             blocks = _block(digests, bits)
-            starts = np.flatnonzero(np.diff(blocks, prepend=-1)).tolist()
+            # many short rows, so that a batch of them stays small
+            starts = np.flatnonzero((np.diff(blocks, prepend=-1) != 0) | (np.arange(len(blocks)) % 1024 == 0)).tolist()
             for begin, end in zip(starts, [*starts[1:], len(blocks)]):
                 part = order[begin:end]
                 own = None if counts is None else counts[part].astype(_LONG).tobytes()
@@ -267,7 +268,7 @@ def block_sums(arrays: DataFrame, kept: DataFrame) -> DataFrame:
                 yield pa.record_batch(columns, names)
 
         for batch in batches:
-            for lang, origin, block, digests, counts, terms in zip(*(batch.column(n).to_pylist() for n in ("lang", "source", "block", "ids", "counts", "terms"))):
+            for lang, origin, block, digests, counts, terms in (tuple(c[n].as_py() for c in batch.columns) for n in range(batch.num_rows)):
                 if at != (lang, block) or origin != source:
                     if own is not None:
                         total += own
@@ -283,8 +284,9 @@ def block_sums(arrays: DataFrame, kept: DataFrame) -> DataFrame:
                     yield pa.record_batch([pa.array([x], pa.string()) for x in (lang, origin)] + [pa.nulls(1, k) for k in BARE], names)
                 elif terms is not None:
                     for digest, term in zip(np.frombuffer(digests, _LONG).tolist(), terms):
-                        low, high = strings.get(digest, (term, term))
-                        strings[digest] = min(low, term, key=str.encode), max(high, term, key=str.encode)
+                        low, high = strings.setdefault(digest, (term, term))
+                        if low != term or high != term:
+                            strings[digest] = min(low, term, key=str.encode), max(high, term, key=str.encode)
                 elif counts is None:
                     kept_ids.append(digests)
                 else:
