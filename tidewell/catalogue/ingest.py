@@ -195,6 +195,86 @@ def landing_stream_with_copies(t: Tables):
     return landing.read_landing(t.spark, drop).select("s_suppkey", "s_name")
 
 
+# What the amounts of three drops look like: whole numbers, fractions, words.
+_AMOUNTS = [
+    ("c_acctbal < 0", "cast(cast(floor(c_acctbal) as int) as string)"),
+    ("c_acctbal >= 0 and c_acctbal < 5000", "cast(c_acctbal as string)"),
+    ("c_acctbal >= 5000", "concat('X', c_custkey)"),
+]
+_AMOUNT_SQL = "case " + " ".join(f"when {which} then {value.replace('string', 'varchar')}" for which, value in _AMOUNTS) + " end"
+
+
+def _drop_amounts(t: Tables, drop: landing.Drop, run: int) -> None:
+    which, value = _AMOUNTS[run]
+    rows = t.customer.filter(which).select(F.col("c_custkey").alias("id"), F.expr(value).alias("amount"), "c_name")
+    _drop_csv(rows, f"{drop.source}/d{run}")
+
+
+@query("landing_stream_widened", f"select c_custkey::int as id, {_AMOUNT_SQL} as amount, c_name from customer")
+def landing_stream_widened(t: Tables):
+    """A column of whole numbers gets fractions, then words: its type grows and no value is lost."""
+    drop = landing.Drop.below(scratch_path(t.spark, "lake"), "payments")
+    for run in range(3):
+        _drop_amounts(t, drop, run)
+        landing.land_all(t.spark, [drop], f"run{run}", AT)
+    return landing.read_landing(t.spark, drop).select("id", "amount", "c_name")
+
+
+@query("bronze_widened", f"select c_custkey::int as id, {_AMOUNT_SQL} as amount, day(dw_day)::int as day from (select *, date '2024-05-01' + case when c_acctbal < 0 then 0 when c_acctbal < 5000 then 1 else 2 end as dw_day from customer)")
+def bronze_widened(t: Tables):
+    """The same drops, each carried on to bronze twice."""
+    root = scratch_path(t.spark, "lake")
+    drop = landing.Drop.below(root, "payments")
+    for run in range(3):
+        _drop_amounts(t, drop, run)
+        landing.land_all(t.spark, [drop], f"run{run}", datetime(2024, 5, 1 + run))
+        for _ in range(2):
+            landing_to_bronze(t.spark, drop.target, f"{root}/bronze")
+    return lake.read_lake(t.spark, f"{root}/bronze").select("id", "amount", F.day("dw_ingested_at").alias("day"))
+
+
+@query(
+    "landing_stream_rescued",
+    f"""select c_custkey::int as id, case when c_acctbal < 0 then cast(floor(c_acctbal) as int) end as amount,
+        case when c_acctbal >= 0 then '{{"amount":"' || {_AMOUNT_SQL} || '"}}' end as dw_rescued from customer""",
+)
+def landing_stream_rescued(t: Tables):
+    """Types that stay as they are: what does not fit is kept beside the row."""
+    drop = landing.Drop.below(scratch_path(t.spark, "lake"), "payments")
+    for run in range(3):
+        _drop_amounts(t, drop, run)
+        landing.land_all(t.spark, [drop], f"run{run}", AT, widen=False)
+    return landing.read_landing(t.spark, drop).select("id", "amount", "dw_rescued")
+
+
+def _place_csv(t: Tables, rows, file: str) -> None:
+    """One CSV file under a given name, replacing what was there."""
+    staged = scratch_path(t.spark, "csv")
+    rows.coalesce(1).write.option("header", True).csv(staged)
+    part = next(f for f in lake.list_folders(t.spark, staged, "part-"))
+    path, conf = t.spark._jvm.org.apache.hadoop.fs.Path, t.spark._jsc.hadoopConfiguration()
+    system = path(file).getFileSystem(conf)
+    t.spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, path(part), system, path(file), False, True, conf)
+
+
+@query(
+    "landing_stream_overwritten",
+    """select s_suppkey::int as id, s_name as name, 'run1' as dw_batch_id from supplier where s_suppkey % 3 <> 0
+       union all select s_suppkey::int, 'new ' || s_name, 'run2' from supplier where s_suppkey % 6 = 0""",
+)
+def landing_stream_overwritten(t: Tables):
+    """One of three files is overwritten by fewer, other rows; a third run finds nothing."""
+    drop = landing.Drop.below(scratch_path(t.spark, "lake"), "users")
+    rows = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    for n in range(3):
+        _place_csv(t, rows.filter(f"id % 3 = {n}"), f"{drop.source}/f{n}.csv")
+    landing.land_all(t.spark, [drop], "run1", AT)
+    _place_csv(t, rows.filter("id % 6 = 0").withColumn("name", F.concat(F.lit("new "), "name")), f"{drop.source}/f0.csv")
+    landing.land_all(t.spark, [drop], "run2", AT)
+    landing.land_all(t.spark, [drop], "run3", AT)
+    return landing.read_landing(t.spark, drop).select("id", "name", "dw_batch_id")
+
+
 @query("stream_dedup", "select event_id, ts, user_id, event_type, value from events")
 def stream_dedup(t: Tables):
     """Every event arrives twice, the second time in a later run."""

@@ -22,15 +22,18 @@ from tidewell.sources.lake import (
     BUCKET,
     append,
     append_unless_empty,
+    data_folders,
     list_folders,
     load_mark,
     overwrite,
     path_exists,
     read_lake,
     read_or_none,
+    remember_schema,
     store_mark,
 )
-from tidewell.sources.lineage import INGEST_DAY, LANDING_LOAD, canonical_lineage, stamp_bronze, stamp_landing
+from tidewell.sources.ledger import HIDDEN, live_rows
+from tidewell.sources.lineage import INGEST_DAY, canonical_lineage, stamp_bronze, stamp_landing
 from tidewell.sources.watermark import EPOCH, high_watermark, rows_not_held
 
 log = logging.getLogger(__name__)
@@ -68,7 +71,8 @@ def outcome_table(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame
 
 def ingest_days(spark: SparkSession, bronze: str) -> list[date]:
     """The days a bronze table has folders for, found by listing it."""
-    names = [f.rpartition("=")[2] for f in list_folders(spark, bronze, f"{INGEST_DAY}=")]
+    folders = [f for root in data_folders(spark, bronze) for f in list_folders(spark, root, f"{INGEST_DAY}=")]
+    names = {f.rpartition("=")[2] for f in folders}
     return sorted(date.fromisoformat(n) for n in names if n[:1].isdigit())
 
 
@@ -91,9 +95,9 @@ def _append_bronze(spark: SparkSession, rows: DataFrame, bronze: str, watermark:
     in the last folder alone.  A table kept without such folders stays so."""
     table = read_or_none(spark, bronze, evolving=True)
     if table is not None and INGEST_DAY not in table.columns:
-        return append_unless_empty(rows, bronze)
+        return append_unless_empty(rows, bronze, widen=True)
     dated = rows.withColumn(INGEST_DAY, F.to_date(watermark))
-    return append_unless_empty(dated, bronze, by=[INGEST_DAY])
+    return append_unless_empty(dated, bronze, by=[INGEST_DAY], widen=True)
 
 
 def landing_to_bronze(
@@ -101,7 +105,10 @@ def landing_to_bronze(
 ) -> int:
     """Append the landing rows that bronze lacks, from its watermark on; returns
     their number.  Rows with the stamp of the watermark or with none are compared."""
-    landed = read_lake(spark, landing, evolving=True).drop(LANDING_LOAD)
+    landed = live_rows(spark, read_lake(spark, landing, evolving=True), landing).drop(*HIDDEN)
+    if path_exists(spark, bronze):
+        # types that grew in landing grow here first, so that rows compare as they are
+        remember_schema(spark, bronze, landed.schema, widen=True)
     fresh = _missing_in_bronze(spark, bronze, watermark, lambda mark: landed)
     return _append_bronze(spark, fresh, bronze, watermark)
 

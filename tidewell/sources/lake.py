@@ -8,7 +8,9 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
+
+from tidewell.functions.lattice import wider
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -20,17 +22,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 _STORED = "version int, body string"
 
 
+def _newest(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    if not path_exists(spark, path):
+        return 0, None
+    found = spark.read.schema(_STORED).json(path).agg(F.max("version"), F.max_by("body", "version")).first()
+    return found[0] or 0, found[1]
+
+
 def load_schema(spark: SparkSession, path: str) -> StructType | None:
     """The newest schema stored at a path."""
-    if not path_exists(spark, path):
-        return None
-    newest = spark.read.schema(_STORED).json(path).agg(F.max_by("body", "version")).first()[0]
+    newest = _newest(spark, path)[1]
     return None if newest is None else StructType.fromJson(json.loads(newest))
 
 
 def store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Store a schema as the newest version; its size is its version."""
-    row = [(len(schema.fields), schema.json())]
+    """Store a schema as the newest version."""
+    row = [(max(len(schema.fields), _newest(spark, path)[0] + 1), schema.json())]
     spark.createDataFrame(row, _STORED).write.mode("append").json(path)
 
 
@@ -38,6 +45,12 @@ def store_schema(spark: SparkSession, path: str, schema: StructType) -> None:
 SCHEMA_FOLDER = "_schema"
 
 
+# Where a column's type was widened, later files go to a folder of their own, and the
+# schema of the files before is kept: no file is written again and each is read by its types.
+EARLIER_TYPES = "_types"
+TYPES = "dw_types"
+
+
 # Beside the data of a table that is upserted: which load each bucket is read from.
 LOADS_FOLDER = "_loads"
 LOAD, BUCKET = "load", "merge_bucket"
@@ -97,34 +110,99 @@ def read_lake(spark: SparkSession, path: str, evolving: bool = False) -> DataFra
         rows = spark.read.schema(stored.add(LOAD, "string")).option("basePath", path).parquet(*folders)
         return rows.filter(F.col(LOAD) == named[F.col(BUCKET)]).drop(LOAD)
     if stored is not None:
-        return spark.read.schema(stored).parquet(path)
+        earlier = earlier_types(spark, path)
+        return _of_all_types(spark, path, stored, earlier) if earlier else spark.read.schema(stored).parquet(path)
     return spark.read.option("mergeSchema", evolving).parquet(path)
 
 
+def earlier_types(spark: SparkSession, path: str) -> list[StructType]:
+    """The schemas a table had before each widening of a type, oldest first."""
+    store = f"{path}/{EARLIER_TYPES}"
+    if not path_exists(spark, store):
+        return []
+    found = spark.read.schema(_STORED).json(store).groupBy("version").agg(F.max("body").alias("body"))
+    return [StructType.fromJson(json.loads(r["body"])) for r in found.orderBy("version").collect()]
+
+
+def data_folder(spark: SparkSession, path: str) -> str:
+    """Where a table's next files go."""
+    widenings = len(earlier_types(spark, path))
+    return f"{path}/{TYPES}={widenings}" if widenings else path
+
+
+def data_folders(spark: SparkSession, path: str) -> list[str]:
+    """Every folder that holds files of one set of types."""
+    roots = [path, *[f"{path}/{TYPES}={n + 1}" for n in range(len(earlier_types(spark, path)))]]
+    return [r for r in roots if path_exists(spark, r)]
+
+
+def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of a schema with its types; other columns as they are."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    same = all(kinds.get(f.name, f.dataType) == f.dataType for f in df.schema.fields)
+    return df if same else df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+
+
+def _of_all_types(spark: SparkSession, path: str, stored: StructType, earlier: Sequence[StructType]) -> DataFrame:
+    parts = []
+    for number, types in enumerate([*earlier, stored]):
+        root = f"{path}/{TYPES}={number}" if number else path
+        if not path_exists(spark, root):
+            continue
+        folders = [f for f in list_folders(spark, root, "") if f.rpartition("/")[2][:1] not in "_."]
+        folders = [f for f in folders if not f.rpartition("/")[2].startswith(f"{TYPES}=")]
+        if not folders:
+            continue
+        kinds = {f.name: f.dataType for f in types.fields}
+        schema = StructType([StructField(f.name, kinds.get(f.name, f.dataType), True) for f in stored.fields])
+        rows = spark.read.schema(schema).option("basePath", root).parquet(*folders)
+        parts.append(cast_to(rows, stored))
+    if not parts:
+        return spark.createDataFrame([], stored)
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
+
+
 def read_or_none(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame | None:
     return read_lake(spark, path, evolving) if path_exists(spark, path) else None
 
 
-def remember_schema(spark: SparkSession, path: str, schema: StructType, new: bool = False) -> None:
-    """Keep the columns of a table beside it and add those that are new.
+def remember_schema(spark: SparkSession, path: str, schema: StructType, new: bool = False, widen: bool = False) -> StructType | None:
+    """Keep the columns of a table beside it and add those that are new; returns them all.
 
     Later reads need not open every file to unite their schemas.  A table that
     was written without its schema stays so, unless it is said to be ``new``.
+    With ``widen`` a column of another type takes the least type that holds both; files
+    written before keep theirs.
     """
     store = f"{path}/{SCHEMA_FOLDER}"
     known = load_schema(spark, store)
     if known is None and not new and path_exists(spark, path):
-        return
+        return None
     fields = {f.name: f for f in known.fields} if known else {}
+    widened = False
     for field in schema.fields:
         held = fields.setdefault(field.name, field)
-        if held.dataType != field.dataType:
+        if held.dataType == field.dataType:
+            continue
+        if not widen:
             raise ValueError(
                 f"column {field.name} of {path} is {held.dataType.simpleString()}, "
                 f"not {field.dataType.simpleString()}"
             )
-    if known is None or len(fields) > len(known.fields):
-        store_schema(spark, store, StructType(list(fields.values())))
+        kind = wider(held.dataType, field.dataType)
+        widened = widened or kind != held.dataType
+        fields[field.name] = StructField(field.name, kind, True)
+    whole = StructType(list(fields.values()))
+    if widened:
+        # the schema comes last: a job that ends between the two may be repeated
+        row = [(len(earlier_types(spark, path)), known.json())]
+        spark.createDataFrame(row, _STORED).write.mode("append").json(f"{path}/{EARLIER_TYPES}")
+    if known is None or widened or len(fields) > len(known.fields):
+        store_schema(spark, store, whole)
+    return whole
 
 
 def load_mark(spark: SparkSession, path: str) -> str | None:
@@ -142,24 +220,27 @@ def store_mark(spark: SparkSession, path: str, mark: str) -> None:
     spark.createDataFrame([(last + 1, mark)], _STORED).coalesce(1).write.mode("append").json(path)
 
 
-def append(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Append, in folders per value of ``by``; new columns are allowed."""
-    remember_schema(df.sparkSession, path, df.schema)
+def append(df: DataFrame, path: str, by: Sequence[str] = (), widen: bool = False) -> None:
+    """Append, in folders per value of ``by``; new columns are allowed, and with
+    ``widen`` other types are too."""
+    schema = remember_schema(df.sparkSession, path, df.schema, widen=widen)
+    if schema is not None:
+        df = cast_to(df, schema)
     if by:
         df = df.hint("rebalance", *by)
-    df.write.mode("append").partitionBy(*by).parquet(path)
+    df.write.mode("append").partitionBy(*by).parquet(data_folder(df.sparkSession, path))
 
 
 def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_unless_empty(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
+def append_unless_empty(df: DataFrame, path: str, by: Sequence[str] = (), widen: bool = False) -> int:
     """Append where there is anything to write.  Returns the number of rows, which
     are counted first, by the columns the filters need."""
     found = df.count()
     if found:
-        append(df, path, by)
+        append(df, path, by, widen)
     return found
 
 

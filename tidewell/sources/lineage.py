@@ -17,6 +17,10 @@ from tidewell.functions.casting import lenient
 INGEST_DAY = "dw_ingest_day"
 # Partition column of landing tables that streams write; it goes no further.
 LANDING_LOAD = "dw_load"
+# Values of a landing row that its column's type does not hold, as JSON text by column.
+RESCUED = "dw_rescued"
+# When the file of a landing row was last changed; it goes no further either.
+FILE_CHANGED = "dw_file_changed_at"
 
 TECHNICAL = ["id", "source_identifier", "batch_id"]
 
@@ -26,10 +30,10 @@ def _clock(at: datetime | None) -> Column:
 
 
 def stamp_landing(
-    df: DataFrame, batch_id: str, at: datetime | None = None, source: str | None = None
+    df: DataFrame, batch_id: str, at: datetime | None = None, source: str | Column | None = None
 ) -> DataFrame:
     """Landing form; the source defaults to the file each row was read from."""
-    origin = F.col("_metadata.file_path") if source is None else F.lit(source)
+    origin = F.col("_metadata.file_path") if source is None else source if isinstance(source, Column) else F.lit(source)
     return df.select(
         "*",
         _clock(at).alias("dw_ingested_at"),
@@ -67,7 +71,7 @@ def canonical_lineage(df: DataFrame) -> DataFrame:
         present = [lenient(s, dtype) for s in sources if s in df.columns]
         found[name] = F.coalesce(*present) if present else F.lit(None).cast(dtype)
     aliases = {s for sources in CANONICAL.values() for s in sources} - set(CANONICAL)
-    return df.withColumns(found).drop(*aliases, INGEST_DAY)
+    return df.withColumns(found).drop(*aliases, INGEST_DAY, RESCUED)
 
 
 def drop_technical(df: DataFrame) -> DataFrame:

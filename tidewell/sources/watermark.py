@@ -8,8 +8,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from tidewell.functions.lattice import wider
 from tidewell.operators.references import lacking_reference
+from tidewell.sources.lake import cast_to
 
 EPOCH = datetime(1900, 1, 1)
 
@@ -60,6 +63,8 @@ def rows_not_held(rows: DataFrame, held: DataFrame | None, column: str, watermar
         doubtful = doubtful | (F.col(column) == F.lit(watermark))
         rows = rows.filter((F.col(column) >= F.lit(watermark)) | F.col(column).isNull())
     names = sorted(rows.columns)
+    kinds = {c: wider(rows.schema[c].dataType, held.schema[c].dataType) for c in names if c in held.columns}
+    rows, held = (cast_to(df, StructType([StructField(c, k) for c, k in kinds.items()])) for df in (rows, held))
     known = [F.col(c) if c in held.columns else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in names]
 
     def identity(columns):
