@@ -123,6 +123,19 @@ def seed_restamp_all(t: Tables):
     return lake.read_lake(t.spark, path).select("s_suppkey", "dw_ingested_at", "dw_batch_id")
 
 
+@query(
+    "seed_load_repeated",
+    """select s_suppkey, s_name, case when s_acctbal < 0 then 'b1' else 'b3' end as dw_batch_id from supplier""",
+)
+def seed_load_repeated(t: Tables):
+    """A seed loaded twice, then one that holds all rows: each row comes once."""
+    path, seed = scratch_path(t.spark, "seed"), t.supplier.select("s_suppkey", "s_name")
+    first = t.supplier.filter("s_acctbal < 0").select("s_suppkey", "s_name")
+    for batch_id, rows in (("b1", first), ("b2", first), ("b3", seed), ("b4", seed)):
+        seed_table(t.spark, rows, path, batch_id, "supplier", AT, key=["s_suppkey"])
+    return lake.read_lake(t.spark, path).select("s_suppkey", "s_name", "dw_batch_id")
+
+
 @query(
     "changed_files",
     "select c_custkey, c_name from customer where c_acctbal >= 0",

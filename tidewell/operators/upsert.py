@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import latest
@@ -18,6 +19,7 @@ from tidewell.sources.lake import (
     Loaded,
     commit_load,
     current_load,
+    drop_old_states,
     list_folders,
     load_schema,
     path_exists,
@@ -26,6 +28,7 @@ from tidewell.sources.lake import (
 )
 
 DEFAULT_BUCKETS = 64
+REFUSED_BUCKET = -1
 
 
 def _same_key(keys: Sequence[str]) -> Column:
@@ -59,6 +62,13 @@ def merge_frames(
 
     Both sides are read once and meet in a full outer join.
     """
+    columns, held, joined, in_target, in_batch = _met(target, batch, keys)
+    from_source = ~in_target | (in_batch & _wins(newer_than))
+    return joined.select(*[F.col(f"t.{c}").alias(c) if c in held else _pick(c, from_source) for c in columns])
+
+
+def _met(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[list[str], set[str], DataFrame, Column, Column]:
+    """All columns, those of the target alone, both sides joined, and where a row is from."""
     columns = [*target.columns, *[c for c in batch.columns if c not in target.columns]]
     held = set(target.columns) - set(batch.columns)
     target = target.select(*columns_or_null(target, batch, columns))
@@ -76,9 +86,58 @@ def merge_frames(
         _same_key(keys) & (F.col("t.__lane") == F.col("s.__lane")),
         "full_outer",
     )
-    in_target, in_batch = F.col("t.__here").isNotNull(), F.col("s.__here").isNotNull()
-    from_source = ~in_target | (in_batch & _wins(newer_than))
-    return joined.select(*[F.col(f"t.{c}").alias(c) if c in held else _pick(c, from_source) for c in columns])
+    return columns, held, joined, F.col("t.__here").isNotNull(), F.col("s.__here").isNotNull()
+
+
+# What became of a batch row.  A refused row is not newer than the stored one and unlike it.
+INSERTED, UPDATED, REPEATED, REFUSED = "inserted", "updated", "repeated", "refused"
+_OUTCOME = "__outcome"
+
+
+def merge_accounted(target: DataFrame, batch: DataFrame, keys: Sequence[str], newer_than: str | None = None) -> DataFrame:
+    """``merge_frames``, and every refused batch row besides, from the same join.
+
+    ``__outcome`` tells what became of the batch row that a row comes from or met; it is
+    null for other rows of the target.  Refused rows are not part of the table.
+    """
+    columns, held, joined, in_target, in_batch = _met(target, batch, keys)
+    wins = in_batch & _wins(newer_than)
+    from_source = ~in_target | wins
+    shared = [f for f in batch.schema.fields if f.name not in held and f.name in target.columns]
+    same = reduce(Column.__and__, [_equal(f"t.{f.name}", f"s.{f.name}", f.dataType.simpleString()) for f in shared])
+    refused = in_target & in_batch & ~wins & ~same
+    told = F.when(~in_target, INSERTED).when(wins, UPDATED).when(in_batch & ~refused, REPEATED)
+    stored = [F.col(f"t.{c}").alias(c) if c in held else _pick(c, from_source) for c in columns]
+    lost = [F.lit(None).cast(target.schema[c].dataType).alias(c) if c in held else F.col(f"s.{c}").alias(c) for c in columns]
+    row, other = F.struct(*stored, told.alias(_OUTCOME)), F.struct(*lost, F.lit(REFUSED).alias(_OUTCOME))
+    return joined.select(F.inline(F.when(refused, F.array(row, other)).otherwise(F.array(row))))
+
+
+def _equal(one: str, two: str, kind: str) -> Column:
+    if "map<" in kind or "variant" in kind:
+        return F.to_json(F.struct(one)).eqNullSafe(F.to_json(F.struct(two)))
+    return F.col(one).eqNullSafe(F.col(two))
+
+
+@dataclass(frozen=True)
+class Merged:
+    """What became of the rows of a batch after one row per key was chosen."""
+
+    inserted: int = 0
+    updated: int = 0
+    repeated: int = 0
+    refused: int = 0
+    # where the refused rows are until the table is vacuumed
+    refused_rows: str | None = None
+
+    @property
+    def stored(self) -> int:
+        return self.inserted + self.updated + self.repeated
+
+    def refused_frame(self, spark: SparkSession, path: str) -> DataFrame | None:
+        if not self.refused:
+            return None
+        return spark.read.schema(load_schema(spark, f"{path}/{SCHEMA_FOLDER}")).parquet(self.refused_rows).drop(BUCKET)
 
 
 def columns_or_null(df: DataFrame, other: DataFrame, columns: Sequence[str]) -> list[Column]:
@@ -106,7 +165,7 @@ def upsert_path(
     newer_than: str | None = None,
     buckets: int | None = None,
     newest: Sequence[str] | None = None,
-) -> None:
+) -> Merged:
     """Upsert into a parquet table kept in hash buckets of the merge key.
 
     The batch may repeat keys: the row highest in ``newest`` (``newer_than``
@@ -120,6 +179,9 @@ def upsert_path(
     and a load that was interrupted has changed nothing and may be repeated.
 
     With a catalog that has row-level operations use ``merge_into`` instead.
+
+    Returns what became of the batch's rows, counted by the write itself; refused rows
+    are written with the load, in a bucket that no reader of the table looks at.
     """
     table = current_load(spark, path)
     if table is None and path_exists(spark, path) and load_schema(spark, f"{path}/{SCHEMA_FOLDER}") is None:
@@ -136,18 +198,23 @@ def upsert_path(
         if not touched:
             if table is None:
                 commit_load(spark, path, Loaded(0, count, list(keys), {}))
-            return
-        merged = rows
+            return Merged()
+        merged = rows.withColumn(_OUTCOME, F.lit(INSERTED))
         if table is not None:
             target = read_lake(spark, path).filter(F.col(BUCKET).isin(touched))
-            merged = merge_frames(target, rows, [*keys], newer_than)
-        _commit_rows(spark, path, merged, touched, table or Loaded(0, count, list(keys), {}))
+            merged = merge_accounted(target, rows, [*keys], newer_than)
+        return _commit_rows(spark, path, merged, touched, table or Loaded(0, count, list(keys), {}))
 
 
-def _commit_rows(spark: SparkSession, path: str, rows: DataFrame, touched: Sequence[int], table: Loaded) -> None:
+def _commit_rows(spark: SparkSession, path: str, rows: DataFrame, touched: Sequence[int], table: Loaded) -> Merged:
     load = uuid.uuid4().hex
+    seen, kinds = Observation(f"merge-{load}"), [INSERTED, UPDATED, REPEATED, REFUSED]
+    rows = rows.observe(seen, *[F.count_if(F.coalesce(F.col(_OUTCOME) == kind, F.lit(False))).alias(kind) for kind in kinds])
+    bucket = F.when(F.col(_OUTCOME) == REFUSED, F.lit(REFUSED_BUCKET)).otherwise(F.col(BUCKET))
+    rows = rows.withColumn(BUCKET, bucket).drop(_OUTCOME)
     rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{LOAD}={load}")
     commit_load(spark, path, table.after({bucket: load for bucket in touched}))
+    return Merged(*[seen.get[kind] for kind in kinds], refused_rows=f"{path}/{LOAD}={load}/{BUCKET}={REFUSED_BUCKET}")
 
 
 def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
@@ -155,7 +222,7 @@ def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
     table = current_load(spark, path)
     rows = with_bucket(read_lake(spark, path).drop(BUCKET), table.keys, buckets)
     touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-    _commit_rows(spark, path, rows, touched, Loaded(table.version, buckets, table.keys, {}))
+    _commit_rows(spark, path, rows.withColumn(_OUTCOME, F.lit(None).cast("string")), touched, Loaded(table.version, buckets, table.keys, {}))
 
 
 def vacuum(spark: SparkSession, path: str) -> int:
@@ -167,6 +234,7 @@ def vacuum(spark: SparkSession, path: str) -> int:
     stale = [f for f in list_folders(spark, path, f"{LOAD}=") if f.rpartition("=")[2] not in named]
     for folder in stale:
         remove_path(spark, folder)
+    drop_old_states(spark, path)
     return len(stale)
 
 

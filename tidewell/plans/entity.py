@@ -15,6 +15,7 @@ from tidewell.operators.upsert import merge_frames
 from tidewell.plans.steps import FAILED, Context, Latest, alive, unmarked
 
 SUPERSEDED = "superseded by a newer row of the key"
+REFUSED = "not newer than the stored row of the key"
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,10 @@ class EntityPlan:
     def quarantine(self, audited: DataFrame, batch_id: str = "") -> DataFrame:
         return envelope(audited.filter(~alive()), self.name, FAILED, batch_id)
 
+    def refused(self, rows: DataFrame, batch_id: str = "") -> DataFrame:
+        """Accepted rows that the stored table refused, as the quarantine keeps them."""
+        return envelope(rows.withColumn(FAILED, F.array(F.lit(REFUSED))), self.name, FAILED, batch_id)
+
     def report(self, audited: DataFrame) -> DataFrame:
         return quality_report(audited, FAILED, self.name)
 

@@ -6,14 +6,15 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.references import lacking_reference
-from tidewell.operators.upsert import upsert_path
+from tidewell.operators.upsert import Merged, upsert_path
 from tidewell.plans.entities import ENTITIES
-from tidewell.plans.entity import EntityPlan
+from tidewell.plans.entity import REFUSED, EntityPlan
 from tidewell.plans.steps import Context
 from tidewell.session import settling
 from tidewell.sources import jdbc
@@ -166,6 +167,11 @@ def copy_table(
         store_mark(spark, state, reached.isoformat())
 
 
+def same_values(key: Sequence[str]) -> Column:
+    """Whether the columns of a key equal those of the other side, null like any value."""
+    return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key])
+
+
 def seed_table(
     spark: SparkSession,
     seed: DataFrame,
@@ -174,18 +180,34 @@ def seed_table(
     source: str,
     at: datetime | None = None,
     restamp: str = "new",
+    key: Sequence[str] = (),
 ) -> None:
-    """Load a seed into a lake table."""
+    """Load a seed into a lake table.
+
+    With a ``key`` rows whose key the table holds are left out, so that a seed may be
+    loaded again; without one every load adds all its rows.
+    """
+    table = read_or_none(spark, path)
+    if key and table is not None:
+        seed = seed.join(table.select(*[F.col(k).alias(f"__{k}") for k in key]), same_values(key), "left_anti")
     if restamp == "new":
         # rows that are there keep their stamps, so the others are only added
         append(load_seed(seed, None, batch_id, source, at, restamp), path)
         return
-    loaded = load_seed(seed, read_or_none(spark, path), batch_id, source, at, restamp)
+    loaded = load_seed(seed, table, batch_id, source, at, restamp)
     with settling(spark) as settled:
         # The table may be one of its own inputs.
         overwrite(settled(loaded, "seed"), path)
 
 
+@dataclass(frozen=True)
+class Published:
+    """The quality report of a batch and what became of its accepted rows."""
+
+    report: DataFrame
+    merged: Merged
+
+
 def publish(
     spark: SparkSession,
     plan: EntityPlan,
@@ -198,19 +220,43 @@ def publish(
 ) -> DataFrame:
     """Audit raw rows once, upsert the accepted, store the rejected and return
     the quality report.  Repeating a batch leaves both tables as they are."""
+    return publish_accounted(spark, plan, raw, context, target, quarantine, batch_id, buckets).report
+
+
+def publish_accounted(
+    spark: SparkSession,
+    plan: EntityPlan,
+    raw: DataFrame,
+    context: Context,
+    target: str,
+    quarantine: str,
+    batch_id: str,
+    buckets: int | None = None,
+) -> Published:
+    """``publish`` with the merge's own account: every raw row is inserted, updated, a
+    repetition of the stored row, or in the quarantine with its reason."""
     with settling(spark) as settled:
         audited = settled(plan.audited(canonical_lineage(raw), context), f"audit-{plan.name}")
-        upsert_path(spark, target, plan.accepted(audited), plan.merge_keys, plan.newer_than, buckets, plan.newest)
+        merged = upsert_path(spark, target, plan.accepted(audited), plan.merge_keys, plan.newer_than, buckets, plan.newest)
+        rejected = plan.quarantine(audited, batch_id)
+        refused = merged.refused_frame(spark, target)
+        if refused is not None:
+            rejected = rejected.unionByName(plan.refused(refused, batch_id))
         (
-            plan.quarantine(audited, batch_id)
-            .write.mode("overwrite")
+            rejected.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(quarantine)
         )
         report = plan.report(audited)
         # one row per rule
-        return spark.createDataFrame(report.collect(), report.schema)
+        counts = {r["measure"]: r["row_count"] for r in report.collect()}
+        if merged.refused:
+            counts["accepted rows"] -= merged.refused
+            counts["rejected rows"] = counts.get("rejected rows", 0) + merged.refused
+            counts[REFUSED] = merged.refused
+        told = [(plan.name, measure, n) for measure, n in counts.items() if n]
+        return Published(spark.createDataFrame(told, report.schema), merged)
 
 
 def curated_tables(spark: SparkSession, root: str) -> Mapping[str, DataFrame]:

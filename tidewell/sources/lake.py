@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidewell.functions.lattice import wider
+from tidewell.session import remove_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -69,27 +70,49 @@ class Loaded:
         return Loaded(self.version + 1, self.buckets, self.keys, {**self.loads, **changed})
 
 
+_STATE = "state="
+
+
+def _states(spark: SparkSession, path: str) -> list[str]:
+    """Folders of an upserted table's states, newest first, found by listing."""
+    store = f"{path}/{LOADS_FOLDER}"
+    return sorted(list_folders(spark, store, _STATE), reverse=True) if path_exists(spark, store) else []
+
+
 def current_load(spark: SparkSession, path: str) -> Loaded | None:
-    """The newest state of an upserted table, None for other tables."""
+    """The newest state of an upserted table, None for other tables; one small file is read."""
+    for folder in _states(spark, path):
+        # a folder without its file belongs to a load that was interrupted
+        if list_folders(spark, folder, "part-"):
+            return _loaded(spark.read.schema(_STORED).json(folder).first()["body"])
     store = f"{path}/{LOADS_FOLDER}"
     if not path_exists(spark, store):
         return None
-    newest = spark.read.schema(_STORED).json(store).agg(F.max_by("body", "version")).first()[0]
-    if newest is None:
-        return None
-    state = json.loads(newest)
+    # tables of before states had folders
+    newest = _newest(spark, store)[1]
+    return None if newest is None else _loaded(newest)
+
+
+def _loaded(body: str) -> Loaded:
+    state = json.loads(body)
     return Loaded(state["version"], state["buckets"], state["keys"], {int(b): name for b, name in state["loads"].items()})
 
 
 def commit_load(spark: SparkSession, path: str, state: Loaded) -> None:
     """Make a state the newest one: one small file, which appears whole or not at all."""
-    body = json.dumps(asdict(state))
-    row = spark.createDataFrame([(state.version, body)], _STORED)
-    row.coalesce(1).write.mode("append").json(f"{path}/{LOADS_FOLDER}")
+    row = spark.createDataFrame([(state.version, json.dumps(asdict(state)))], _STORED)
+    row.coalesce(1).write.mode("overwrite").json(f"{path}/{LOADS_FOLDER}/{_STATE}{state.version:012d}")
+
+
+def drop_old_states(spark: SparkSession, path: str) -> None:
+    """Delete all states of an upserted table but the newest."""
+    whole = [f for f in _states(spark, path) if list_folders(spark, f, "part-")]
+    for folder in whole[1:]:
+        remove_path(spark, folder)
 
 
 def list_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """Folders right below a path whose name has a prefix."""
+    """Folders and files right below a path whose name has a prefix."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
     return [f"{path}/{s.getPath().getName()}" for s in found if s.getPath().getName().startswith(prefix)]
