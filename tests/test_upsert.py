@@ -123,3 +123,40 @@ def test_merge_into_needs_a_row_level_catalog(spark):
     with pytest.raises(Exception, match="MERGE"):
         u.merge_into(spark.createDataFrame(BATCH, SCHEMA), "merge_target", ["k"], "t")
     spark.sql("drop table merge_target")
+
+
+def test_a_merge_tells_what_became_of_every_row(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    schema = "k int, t int, v string, m map<string,string>"
+    first = spark.createDataFrame([(1, 5, "a", {"x": "1"}), (2, 5, "b", None), (3, 5, "c", None), (None, 1, "n", None)], schema)
+    told = u.upsert_path(spark, path, first, ["k"], "t", buckets=3)
+    assert (told.inserted, told.updated, told.repeated, told.refused) == (4, 0, 0, 0)
+    assert told.refused_frame(spark, path) is None
+    second = spark.createDataFrame(
+        [(1, 5, "a", {"x": "1"}), (2, 6, "newer", None), (3, 4, "older", None), (4, 1, "new", None), (None, 2, "n", None)], schema
+    )
+    told = u.upsert_path(spark, path, second, ["k"], "t")
+    assert (told.inserted, told.updated, told.repeated, told.refused) == (2, 1, 1, 1)
+    assert rows(told.refused_frame(spark, path), "k", "t", "v") == [(3, 4, "older")]
+    assert rows(u.read_lake(spark, path), "k", "v") == [
+        (1, "a"), (2, "newer"), (3, "c"), (4, "new"), (None, "n"), (None, "n"),
+    ]
+    # without a stamp every match updates; a batch without a column leaves it as it is
+    third = spark.createDataFrame([(1, 0), (9, 0)], "k int, t int")
+    told = u.upsert_path(spark, path, third, ["k"])
+    assert (told.inserted, told.updated, told.stored) == (1, 1, 2)
+    assert rows(u.read_lake(spark, path).filter("k in (1, 9)"), "k", "t", "v") == [(1, 0, "a"), (9, 0, None)]
+
+
+def test_only_the_newest_state_is_read_and_kept(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    for n in range(4):
+        u.upsert_path(spark, path, spark.createDataFrame([(1, n)], "k int, t int"), ["k"], "t", buckets=2)
+    states = sorted((tmp_path / "table" / "_loads").iterdir())
+    assert len(states) == 4
+    # a state that was never finished is passed over
+    (tmp_path / "table" / "_loads" / "state=000000000099").mkdir()
+    assert rows(u.read_lake(spark, path), "k", "t") == [(1, 3)]
+    u.vacuum(spark, path)
+    assert sorted(s.name for s in (tmp_path / "table" / "_loads").iterdir())[0] == states[-1].name
+    assert rows(u.read_lake(spark, path), "k", "t") == [(1, 3)]
