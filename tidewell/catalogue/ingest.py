@@ -14,7 +14,8 @@ from tidewell.catalogue import curated
 from tidewell.catalogue.base import Tables, query
 from tidewell.operators.nested import parse_json
 from tidewell.plans.entities import SUBSCRIPTIONS
-from tidewell.plans.jobs import landing_to_bronze, publish, seed_table
+from tidewell.operators.upsert import upsert_path
+from tidewell.plans.jobs import curate_all, landing_to_bronze, publish, seed_table
 from tidewell.session import scratch_path
 from tidewell.sources import files, lake, watermark
 from tidewell.sources.lake import BUCKET
@@ -354,3 +355,37 @@ def publish_subscriptions(t: Tables):
             buckets=4,
         )
     return lake.read_lake(t.spark, f"{root}/silver").drop(BUCKET)
+
+
+def _late_users(t: Tables) -> str:
+    """Subscriptions curated while half of the users are there, then without new rows when all are."""
+    root, name = scratch_path(t.spark, "replay"), "subscriptions"
+    users = t.sql(curated.REFERENCES["users"])
+    lake.append(curated.raw_rows(t, name), f"{root}/bronze/{name}")
+    for run, which in enumerate(("user_id % 2 = 0", "user_id % 2 = 1", "user_id is null")):
+        upsert_path(t.spark, f"{root}/silver/users", users.filter(which), ["user_id"], buckets=8)
+        outcomes = curate_all(t.spark, root, f"b{run}", curated.AS_OF, [name], buckets=4)
+        if outcomes[0].status == "failed":
+            raise RuntimeError(outcomes[0].detail)
+        if run == 0:
+            # nothing new comes in later runs but the keys
+            lake.overwrite(curated.raw_rows(t, name).limit(0), f"{root}/bronze/{name}")
+    return root
+
+
+@query("quarantine_replay", curated._batch_sql("subscriptions"))
+def quarantine_replay(t: Tables):
+    """Subscriptions whose users came later are stored, none of them twice."""
+    return lake.read_lake(t.spark, f"{_late_users(t)}/silver/subscriptions").drop(BUCKET)
+
+
+@query(
+    "quarantine_replay_left",
+    f"""select count(*) filter (reason = 'user_id not found in silver users') as without_user,
+        count(*) filter (reason <> '') as quarantined from ({curated._quarantine_sql("subscriptions")})""",
+)
+def quarantine_replay_left(t: Tables):
+    """What is left in the quarantine is what would be there, had all users come first."""
+    kept = t.spark.read.parquet(f"{_late_users(t)}/quarantine/subscriptions")
+    missing = F.count_if(F.col("reason") == "user_id not found in silver users")
+    return kept.agg(missing.alias("without_user"), F.count("*").alias("quarantined"))

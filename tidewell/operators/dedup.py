@@ -25,7 +25,8 @@ def _newest_first(df: DataFrame, grain: Sequence[str], order: Sequence[str]) ->
         for name, dtype in df.dtypes
         if name not in {*grain, *order} and "map<" not in dtype and dtype != "variant"
     ]
-    return [F.col(c).desc_nulls_last() for c in order] + [F.col(c).asc_nulls_first() for c in rest]
+    # rows that have nothing but their grain are alike
+    return [F.col(c).desc_nulls_last() for c in order] + [F.col(c).asc_nulls_first() for c in rest] or [F.lit(0).asc()]
 
 
 def latest(df: DataFrame, grain: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -106,19 +106,23 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def envelope(df: DataFrame, entity: str, failures: str, batch_id: str) -> DataFrame:
+# Stamps keep their microseconds in a payload.
+_PAYLOAD = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def envelope(df: DataFrame, entity: str, failures: str, batch_id: str | Column, besides: Sequence[str] = ()) -> DataFrame:
     """Rejected rows of any entity in one shape.
 
     ``failures`` is the array of messages; the first is the rule the row is
-    counted under.  The row itself is kept as JSON.
+    counted under.  The row itself, without the columns ``besides``, is kept as JSON.
     """
-    payload = [c for c in df.columns if c != failures]
+    payload = [c for c in df.columns if c not in (failures, *besides)]
     return df.select(
         F.lit(entity).alias("entity"),
         F.col(failures)[0].alias("rule"),
         F.array_join(failures, "; ").alias("reason"),
-        F.to_json(F.struct(*payload)).alias("payload"),
-        F.lit(batch_id).alias("batch_id"),
+        F.to_json(F.struct(*payload), _PAYLOAD).alias("payload"),
+        (batch_id if isinstance(batch_id, Column) else F.lit(batch_id)).alias("batch_id"),
     )
 
 

@@ -15,6 +15,7 @@ from tidewell.operators.references import lacking_reference
 from tidewell.operators.upsert import Merged, upsert_path
 from tidewell.plans.entities import ENTITIES
 from tidewell.plans.entity import REFUSED, EntityPlan
+from tidewell.plans.replay import replay_entity
 from tidewell.plans.steps import Context
 from tidewell.session import settling
 from tidewell.sources import jdbc
@@ -290,8 +291,8 @@ def curate_all(
     the order of their references.
 
     A run reads bronze from the last ingest day of the run before on, that day
-    included, and rows without a stamp; ``whole`` reads all of it, as is needed
-    to judge rows again whose reference came later.
+    included, and rows without a stamp; ``whole`` reads all of it.  Quarantined rows whose
+    reference has come since are judged again (see ``plans.replay``).
     """
 
     def one(name: str) -> int:
@@ -301,17 +302,21 @@ def curate_all(
             return 0
         days = ingest_days(spark, bronze) if INGEST_DAY in raw.columns else []
         raw = raw if whole else rows_since(raw, load_mark(spark, state))
+        context = Context(curated_tables(spark, root), as_of)
         report = publish(
             spark,
             ENTITIES[name],
             raw,
-            Context(curated_tables(spark, root), as_of),
+            context,
             f"{root}/silver/{name}",
             f"{root}/quarantine/{name}",
             batch_id,
             buckets,
         )
         overwrite(report, f"{root}/quality/{name}/batch_id={batch_id}")
+        replayed = replay_entity(spark, ENTITIES[name], raw, context, root, batch_id, buckets)
+        if replayed.judged:
+            log.info("%s: %s quarantined rows judged again, %s stored", name, replayed.judged, replayed.merged.stored)
         if days:
             store_mark(spark, state, days[-1].isoformat())
         return sum(r["row_count"] for r in report.collect() if r["measure"] in ("accepted rows", "rejected rows"))

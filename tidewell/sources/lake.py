@@ -93,6 +93,14 @@ def current_load(spark: SparkSession, path: str) -> Loaded | None:
     return None if newest is None else _loaded(newest)
 
 
+def state_at(spark: SparkSession, path: str, version: int) -> Loaded | None:
+    """An earlier state of an upserted table, None once it was vacuumed."""
+    folder = f"{path}/{LOADS_FOLDER}/{_STATE}{version:012d}"
+    if not path_exists(spark, folder) or not list_folders(spark, folder, "part-"):
+        return None
+    return _loaded(spark.read.schema(_STORED).json(folder).first()["body"])
+
+
 def _loaded(body: str) -> Loaded:
     state = json.loads(body)
     return Loaded(state["version"], state["buckets"], state["keys"], {int(b): name for b, name in state["loads"].items()})
