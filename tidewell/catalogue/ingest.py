@@ -6,13 +6,13 @@ tables into a fresh folder below the shared scratch folder.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from tidewell.catalogue import curated
 from tidewell.catalogue.base import Tables, query
-from tidewell.operators.nested import parse_json
+from tidewell.operators.nested import flatten_structs, grow_json_schema, parse_json
 from tidewell.plans.entities import SUBSCRIPTIONS
 from tidewell.operators.upsert import upsert_path
 from tidewell.plans.jobs import curate_all, landing_to_bronze, publish, seed_table
@@ -20,7 +20,7 @@ from tidewell.session import scratch_path
 from tidewell.sources import files, lake, watermark
 from tidewell.sources.lake import BUCKET
 from tidewell.sources.lineage import stamp_landing
-from tidewell.streaming import landing
+from tidewell.streaming import landing, sessions
 
 AT = datetime(2024, 5, 1, 12)
 _HALF = "timestamp '2024-01-16 00:00:00'"
@@ -389,3 +389,73 @@ def quarantine_replay_left(t: Tables):
     kept = t.spark.read.parquet(f"{_late_users(t)}/quarantine/subscriptions")
     missing = F.count_if(F.col("reason") == "user_id not found in silver users")
     return kept.agg(missing.alias("without_user"), F.count("*").alias("quarantined"))
+
+
+# Events come in three deliveries, a third of them one delivery late.
+_DELIVERY = "least(2, floor(day(ts) / 11) + case when event_id % 3 = 0 then 1 else 0 end)"
+_GAP, _DELAY = timedelta(hours=12), timedelta(days=3)
+_DEALT_SQL = f"""with d as (select event_id, ts, user_id, event_type, {_DELIVERY} as k from events),
+  m as (select k, max(ts) as top from d group by k),
+  b as (select d.*, (select max(top) from m where m.k < d.k) - interval '3 days' as passed from d),
+  l as (select *, passed is not null and ts < passed as late from b)"""
+
+
+def _land_events(t: Tables) -> str:
+    root = scratch_path(t.spark, "sessions")
+    events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    for k in range(3):
+        events.filter(F.expr(_DELIVERY) == k).orderBy(F.xxhash64("event_id")).write.mode("append").parquet(f"{root}/in/k{k}")
+        stream = t.spark.readStream.schema(events.schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        sessions.land_sessions(stream, f"{root}/out", ["user_id"], "ts", _GAP, _DELAY, [F.count_if(F.col("event_type") == "click").alias("clicks")])
+    return f"{root}/out"
+
+
+@query(
+    "session_stream",
+    f"""{_DEALT_SQL},
+  g as (select *, case when ts < lag(ts) over (partition by user_id order by ts) + interval '12 hours' then 0 else 1 end as opens from l where not late),
+  s as (select *, sum(opens) over (partition by user_id order by ts) as number from g)
+  select user_id, min(ts) as started_at, max(ts) as last_event_at, count(*) as event_count, count(*) filter (event_type = 'click') as clicks
+  from s group by user_id, number having max(ts) + interval '12 hours' <= (select max(ts) from l where not late) - interval '3 days'""",
+)
+def session_stream(t: Tables):
+    """Sessions of shuffled deliveries, as gaps and islands over the events in time give them."""
+    return t.spark.read.parquet(f"{_land_events(t)}/sessions").select("user_id", "started_at", "last_event_at", "event_count", "clicks")
+
+
+@query("session_stream_late", f"{_DEALT_SQL} select event_id, ts from l where late")
+def session_stream_late(t: Tables):
+    """Events that came behind the watermark are kept, none is dropped."""
+    return sessions.late_events(t.spark, _land_events(t), "event_id long, ts timestamp")
+
+
+@query(
+    "json_schema_grown",
+    """select event_id, cast(case when event_id % 2 = 0 then floor(value) else value end as double) as amount,
+       cast(json_extract_string(props, '$.k') as bigint) as props_k, case when event_id % 2 = 1 then event_type end as props_kind,
+       case when event_id % 2 = 0 then cast(user_id as varchar) else 'u' || user_id end as who,
+       case when event_id % 2 = 1 then event_id end as extra from events""",
+)
+def json_schema_grown(t: Tables):
+    """Two loads of documents; the second has new, nested and wider fields, and only it is looked at then."""
+    root = scratch_path(t.spark, "json-grown")
+    k = F.from_json("props", "k bigint").k.alias("k")
+    loads = [
+        t.events.filter("event_id % 2 = 0").select(
+            F.struct("event_id", F.floor("value").alias("amount"), F.struct(k).alias("props"), F.col("user_id").alias("who")).alias("d")
+        ),
+        t.events.filter("event_id % 2 = 1").select(
+            F.struct(
+                "event_id",
+                F.col("value").alias("amount"),
+                F.struct(k, F.col("event_type").alias("kind")).alias("props"),
+                F.concat(F.lit("u"), "user_id").alias("who"),
+                F.col("event_id").alias("extra"),
+            ).alias("d")
+        ),
+    ]
+    for load in loads:
+        texts = load.select(F.to_json("d").alias("data"))
+        schema = grow_json_schema(t.spark, texts, "data", f"{root}/schema")
+        lake.append(parse_json(texts, "data", schema), f"{root}/table", widen=True)
+    return flatten_structs(lake.read_lake(t.spark, f"{root}/table"))

@@ -104,6 +104,37 @@ def settled(kind: DataType) -> DataType:
     return kind
 
 
+def known_fields(kind: StructType) -> StructType:
+    """The fields that have seen a value, at any depth; a type may still be found for the others."""
+    fields = []
+    for f in kind.fields:
+        inner = known_fields(f.dataType) if isinstance(f.dataType, StructType) else f.dataType
+        if not isinstance(inner, NullType) and (not isinstance(inner, StructType) or inner.fields):
+            fields.append(StructField(f.name, settled(inner), True, f.metadata))
+    return StructType(fields)
+
+
+def as_type(column: Column, held: DataType, wanted: DataType) -> Column:
+    """A value in a wider type; fields of structs are found by name, and new ones are null."""
+    if held == wanted:
+        return column
+    if isinstance(held, StructType) and isinstance(wanted, StructType):
+        kinds = {f.name: f.dataType for f in held.fields}
+        fields = [
+            (as_type(column[f.name], kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(held, ArrayType) and isinstance(wanted, ArrayType):
+        return F.transform(column, lambda x: as_type(x, held.elementType, wanted.elementType))
+    if isinstance(held, MapType) and isinstance(wanted, MapType):
+        values = F.transform_values(column, lambda _, v: as_type(v, held.valueType, wanted.valueType))
+        return F.transform_keys(values, lambda k, _: as_type(k, held.keyType, wanted.keyType))
+    if isinstance(wanted, StringType) and isinstance(held, (StructType, ArrayType, MapType)):
+        return F.to_json(column)
+    return column.cast(wanted)
+
+
 # What a value has to look like before a cast decides: casts alone would take 2024 for
 # a date and 12d for a number.
 _LOOKS = {

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewell.functions.lattice import joined, known_fields
+from tidewell.sources.lake import load_schema, store_schema
+
 
 # Type words of a variant's schema; quoted names and names before a colon are none.
 _TYPE_WORDS = re.compile(r"`(?:[^`]|``)*`|\b(OBJECT|VARIANT|VOID)\b(?!\s*:)")
@@ -48,3 +51,28 @@ def infer_json_schema(df: DataFrame, column: str) -> str:
     """
     found = df.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
     return _TYPE_WORDS.sub(lambda m: _SPARK_TYPES.get(m[1], m[0]), found)
+
+
+def grow_json_schema(spark: SparkSession, load: DataFrame, column: str, store: str) -> StructType:
+    """The stored schema of a JSON column, widened by the documents of one load, and stored.
+
+    Only the load is read.  Its tree of types is joined with the stored one field by
+    field: new fields are added at any depth and types grow along the lattice, whatever
+    the order of the loads.  A field that only held nulls so far is left out of the schema
+    until a value tells its type.
+    """
+    ddl = load.select(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
+    found = _parsed(spark, ddl)
+    known = load_schema(spark, store)
+    schema = found if known is None else joined(known, found)
+    if schema != known:
+        store_schema(spark, store, schema)
+    return known_fields(schema)
+
+
+def _parsed(spark: SparkSession, ddl: str) -> StructType:
+    """A variant's schema as a type; fields without a value stay without a type."""
+    kinds = {**_SPARK_TYPES, "VOID": "VOID"}
+    written = _TYPE_WORDS.sub(lambda m: kinds.get(m[1], m[0]), ddl)
+    found = spark.createDataFrame([], f"document {written}").schema["document"].dataType
+    return found if isinstance(found, StructType) else StructType()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidewell.functions.lattice import wider
+from tidewell.functions.lattice import as_type, wider
 from tidewell.session import remove_path
 
 
@@ -171,7 +171,7 @@ def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
     """The columns of a schema with its types; other columns as they are."""
     kinds = {f.name: f.dataType for f in schema.fields}
     same = all(kinds.get(f.name, f.dataType) == f.dataType for f in df.schema.fields)
-    return df if same else df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+    return df if same else df.select(*[as_type(F.col(f"`{f.name}`"), f.dataType, kinds.get(f.name, f.dataType)).alias(f.name) for f in df.schema.fields])
 
 
 def _of_all_types(spark: SparkSession, path: str, stored: StructType, earlier: Sequence[StructType]) -> DataFrame:
