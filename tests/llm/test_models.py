@@ -235,3 +235,12 @@ def test_worker_tables():
     assert list(sums(np.array([1.0, 2.0, 3.0]), np.array([0, 2, 0, 1]))) == [0, 3, 0, 3]
     codes, owner = ngram_hashes(["ab", "", "abc"], (3,))
     assert list(owner) == [0, 0, 2, 2, 2] and codes[0] == codes[2]
+
+
+def test_texts_without_a_letter_have_no_language(spark):
+    rows = [(k, "the of and to in is it " * 3, "en", "s", 1, "", "", "", "") for k in range(40)]
+    rows += [(100 + k, text, "en", "s", 1, "", "", "", "") for k, text in enumerate(["² ½ 12", "Ⅷ", "③ ٣", "_", "", None])]
+    docs = documents(spark, rows)
+    found = {r["doc_id"]: r for r in language.identify(docs, language.fit(docs)).collect()}
+    assert [(found[100 + k]["lang_pred"], found[100 + k]["score"]) for k in range(6)] == [("und", 0.0)] * 6
+    assert found[0]["lang_pred"] == "en"

@@ -25,7 +25,7 @@ def test_stages_keep_the_columns_of_documents_and_pack_the_rest(spark):
     assert ids[0] == good
     rows = docs.collect()
     input_two = spark.createDataFrame([r for r in rows if r["doc_id"] in ids[0]], docs.schema)
-    assert ids[1] == {r["doc_id"] for r in neardup.near_duplicates(input_two).collect() if r["kept"]}
+    assert ids[1] == {r["doc_id"] for r in neardup.near_duplicates(input_two, corpus_pipeline.SIMILAR).collect() if r["kept"]}
     leaked = {r["doc_id"] for r in decontaminate.overlaps(docs, queries.table(spark, FOLDER, "benchmark")).collect()}
     assert ids[2] == ids[3] == ids[1] - leaked
     final = pii.pseudonymised(docs, queries.PSEUDONYM_KEY).where(docs["doc_id"].isin(list(ids[3])))

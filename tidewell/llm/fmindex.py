@@ -78,7 +78,9 @@ class FMIndex:
         whole = np.concatenate([np.empty(0, np.uint64), *[s.astype(np.uint64) for s in sequences]])
         self.alphabet = np.unique(whole)
         # symbol 0 ends a sequence
-        total = int(sizes.sum()) + len(sizes)
+        total = self.total = int(sizes.sum()) + len(sizes)
+        if not total:
+            return
         text = np.zeros(total, np.int64)
         owner = np.repeat(np.arange(len(sizes)), sizes + 1)
         inside = np.ones(total, bool)
@@ -101,7 +103,6 @@ class FMIndex:
         before = text[order - 1]
         depth = max(1, int(len(self.alphabet)).bit_length())
         self.tree = Wavelet(before, depth)
-        self.total = total
         self.counts = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(self.alphabet) + 1))])
 
     def _symbols(self, pattern: np.ndarray) -> np.ndarray:
