@@ -305,3 +305,21 @@ def derived_product_columns(t: Tables):
            when 'LARGE' then 'Cloud Tools' else p_type end as category from {part}"""
     )
     return rows.select("p_partkey", *[v.alias(k) for k, v in derived.product_columns().items()])
+
+
+_TAKEN = """select l_suppkey as license_id, l_shipdate as taken, case when l_linenumber = 7 then null else l_shipdate + DAYS(l_quantity - 3) end as freed
+  from {lineitem}"""
+
+
+@query(
+    "peak_seats",
+    f"""with a as (select * from ({_TAKEN}) where freed is null or freed > taken),
+    e as (select license_id, taken as moment, 1 as change from a union all select license_id, freed, -1 from a where freed is not null),
+    c as (select license_id, moment, sum(change) as change from e group by 1, 2),
+    r as (select license_id, moment, sum(change) over (partition by license_id order by moment) as seats from c)
+    select license_id, any_value(top)::bigint as peak, min(moment) filter (seats = top) as peak_at
+    from (select *, max(seats) over (partition by license_id) as top from r) group by license_id""",
+)
+def peak_seats(t: Tables):
+    """The most seats of a licence in use at once, and since when."""
+    return b.peak_seats(t.sql(_TAKEN), "license_id", "taken", "freed")

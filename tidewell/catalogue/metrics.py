@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewell.catalogue.base import Tables, query
 from tidewell.operators import metrics as m
-from tidewell.operators import models
+from tidewell.operators import models, sketches
+from tidewell.session import settle
 
 _SUBSCRIPTIONS = """select o_orderkey as subscription_id, o_custkey as user_id, o_orderpriority as tier,
   case o_orderstatus when 'F' then 'cancelled' when 'O' then 'active' else 'trial' end as status,
@@ -159,3 +160,99 @@ def customer_segments_facts(t: Tables):
         F.sum("c_custkey").alias("key_sum"),
         F.countDistinct("segment").cast("int").alias("segments"),
     )
+
+
+_AS_OF = "date '2001-06-30'"
+_STARTED = f"""select *, date_trunc('month', start_date)::date as cohort, case when end_date <= {_AS_OF} and end_date >= start_date then
+  (year(end_date) - year(start_date)) * 12 + month(end_date) - month(start_date) end as lasted from ({_SUBSCRIPTIONS}) where start_date <= {_AS_OF}"""
+
+
+@query(
+    "retention_by_cohort",
+    f"""with s as ({_STARTED}),
+    c as (select cohort, count(*) as size, unnest(range(0, (2001 - year(cohort)) * 12 + 6 - month(cohort) + 1)) as age from s group by cohort)
+    select c.cohort::varchar as cohort, c.age::int as age, size,
+      (select count(*) from s where s.cohort = c.cohort and (lasted is null or lasted >= c.age)) as retained,
+      (select count(*) from s where s.cohort = c.cohort and (lasted is null or lasted >= c.age)) / size as share from c""",
+)
+def retention_by_cohort(t: Tables):
+    return m.retention_by_cohort(t.sql(_SUBSCRIPTIONS), F.expr(_AS_OF))
+
+
+@query(
+    "survival_curve",
+    f"""with s as (select date_diff('day', start_date, case when end_date <= {_AS_OF} then greatest(end_date, start_date) else {_AS_OF} end) as age,
+        coalesce(end_date <= {_AS_OF}, false) as over from ({_SUBSCRIPTIONS}) where start_date <= {_AS_OF}),
+    d as (select age, count(*) filter (over) as ended, count(*) as n from s group by age),
+    r as (select age, ended, sum(n) over (order by age desc) as at_risk from d),
+    p as (select age, ended, at_risk, product(1 - ended / at_risk) over (order by age) as survival from r)
+    select age::int as age, at_risk::bigint as at_risk, ended, round(survival, 9) as survival from p where ended > 0""",
+)
+def survival_curve(t: Tables):
+    """Open subscriptions count as censored, not as ended."""
+    return m.survival_curve(t.sql(_SUBSCRIPTIONS), F.expr(_AS_OF)).withColumn("survival", F.round("survival", 9))
+
+
+_HELD_OUT = "('0x' || substr(md5(cast(c_custkey as varchar)), 1, 8))::bigint % 5 = 0"
+_FEATURES = ["orders", "mean_price", "c_acctbal"]
+_LEFT_SQL = """select c_custkey, count(*) as orders, avg(o_totalprice) as mean_price, any_value(c_acctbal) as c_acctbal,
+  count(*) filter (o_orderstatus = 'F') > count(*) / 3 as has_left from orders join customer on o_custkey = c_custkey group by c_custkey"""
+
+
+@query(
+    "churn_evaluation",
+    f"""select count(*) filter (not {_HELD_OUT}) as trained, count(*) filter ({_HELD_OUT}) as tested, 0 as in_both,
+        count(*) filter ({_HELD_OUT} and has_left) as left_in_test, true as matrix_adds_up, true as within_bounds from ({_LEFT_SQL})""",
+)
+def churn_evaluation(t: Tables):
+    """The model is judged on customers that it has not seen."""
+    customers = _customer_features(t)
+    scored, quality = models.evaluate_churn(customers, "c_custkey", _FEATURES, "has_left")
+    train = customers.filter(~models.held_out("c_custkey"))
+    counts = scored.agg(F.count("*").alias("tested"))
+    sizes = train.agg(F.count("*").alias("trained"))
+    both = train.join(scored, "c_custkey", "left_semi").agg(F.count("*").cast("int").alias("in_both"))
+    whole = sizes.join(counts).join(both).join(quality)
+    sum_of = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
+    bounded = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("auc", "f1", "precision", "recall")]
+    return whole.select(
+        "trained", "tested", "in_both", (F.col("tp") + F.col("fn")).alias("left_in_test"), (sum_of == F.col("tested")).alias("matrix_adds_up"),
+        (bounded[0] & bounded[1] & bounded[2] & bounded[3]).alias("within_bounds"),
+    )
+
+
+@query(
+    "segment_evaluation",
+    f"""select k::int as segments, (select count(*) from ({_LEFT_SQL}) where {_HELD_OUT}) as customers, true as within_bounds
+        from (select unnest([2, 3, 4, 5]) as k)""",
+)
+def segment_evaluation(t: Tables):
+    """Silhouettes of several numbers of segments, over customers held out of the fit."""
+    found = models.evaluate_segments(_customer_features(t), "c_custkey", _FEATURES, [2, 3, 4, 5])
+    fits = F.coalesce(F.col("silhouette").between(-1, 1), F.lit(True)) & (F.col("used") <= F.col("segments"))
+    return found.select("segments", "customers", fits.alias("within_bounds"))
+
+
+@query(
+    "sketched_profile",
+    """select count(*) as n, count(distinct user_id) as users, true as users_within_error, true as median_within_error,
+       (select event_type from events where ts >= timestamp '2024-01-08' and ts < timestamp '2024-01-22' group by 1 order by count(*) desc, 1 limit 1) as most_frequent
+       from events where ts >= timestamp '2024-01-08' and ts < timestamp '2024-01-22'""",
+)
+def sketched_profile(t: Tables):
+    """Two weeks from the sketches of their days, against the rows themselves: three standard
+    errors for distinct users, the rank error for the median."""
+    events = t.events.withColumn("day", F.to_date("ts"))
+    days = settle(sketches.daily_sketches(events, "day", ["user_id"], ["value"], ["event_type"]), "sketches")
+    wanted = F.col("day").between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-21").cast("date"))
+    told = sketches.estimates(sketches.merged_sketches(days.filter(wanted)))
+    rows = events.filter(wanted)
+    exact = rows.agg(F.countDistinct("user_id").alias("users"))
+    near = told.join(exact).withColumn("middle", F.col("value_median"))
+    rank = rows.join(told.select("value_median")).agg(F.avg((F.col("value") < F.col("value_median")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("value_median")).cast("int")).alias("upto"))
+    error = F.abs(F.col("user_id_distinct") - F.col("users")) / F.col("users")
+    return near.join(rank).select(
+        "n", "users", (error <= 3 * sketches.HLL_ERROR).alias("users_within_error"),
+        ((F.col("below") <= 0.5 + sketches.KLL_ERROR) & (F.col("upto") >= 0.5 - sketches.KLL_ERROR)).alias("median_within_error"),
+        F.col("event_type_frequent")[0]["item"].alias("most_frequent"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.operators.references import (
@@ -14,6 +14,7 @@ from tidewell.operators.references import (
     looked_up,
     mark_reference,
 )
+from tidewell.session import settle
 
 # What points to a customer who may leave.
 RISK_TICKETS = ["billing", "cancellation"]
@@ -123,3 +124,29 @@ def sessions(
         F.count_if(what == opening).alias("opening_count"),
         F.count_if(what == closing).alias("closing_count"),
     )
+
+
+def peak_seats(allocations: DataFrame, licence: str, begin: str, end: str) -> DataFrame:
+    """Per licence the most seats taken at once, and since when.
+
+    A seat is taken from ``begin`` on and free again at ``end`` (never, where that is null);
+    changes of one moment count together.  The sweep runs in pieces of the order by licence
+    and moment, cut evenly by range partitioning, so a huge licence is no single task: each
+    piece sums its changes, and the sums of a licence's earlier pieces are carried in.
+    """
+    valid = allocations.filter(F.col(begin).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(begin))))
+    moves = F.array(F.struct(F.col(begin).alias("at"), F.lit(1).alias("change")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("change")))
+    moves = valid.select(F.col(licence).alias("licence"), F.inline(moves)).filter(F.col("at").isNotNull())
+    moves = moves.groupBy("licence", "at").agg(F.sum("change").alias("change"))
+    pieces = moves.repartitionByRange("licence", "at").withColumn("piece", F.spark_partition_id())
+    pieces = settle(pieces, "sweep")
+    inside = Window.partitionBy("licence", "piece").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    running = pieces.withColumn("seats", F.sum("change").over(inside))
+    # of each piece of a licence: what it adds, and its own highest point, the earliest of equal ones
+    highest = F.max_by(F.struct("seats", "at"), F.struct("seats", (-F.unix_micros(F.col("at").cast("timestamp"))).alias("early")))
+    parts = running.groupBy("licence", "piece").agg(F.sum("change").alias("added"), highest.alias("top"))
+    earlier = Window.partitionBy("licence").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.withColumn("seats", F.col("top.seats") + F.coalesce(F.sum("added").over(earlier), F.lit(0)))
+    best = F.max_by(F.struct("seats", "top.at"), F.struct("seats", -F.col("piece")))
+    peak = carried.groupBy("licence").agg(best.alias("best"))
+    return peak.select(F.col("licence").alias(licence), F.col("best.seats").alias("peak"), F.col("best.at").alias("peak_at"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -149,3 +149,44 @@ def revenue_trend(monthly: DataFrame, value: str = "revenue", month: str = "mont
     return fitted.withColumn(
         "next_value", F.col("intercept") + F.col("slope") * (F.col("__last") + 1)
     ).drop("__last")
+
+
+def _age(start: Column, at: Column) -> Column:
+    """Whole calendar months between two dates."""
+    return ((F.year(at) - F.year(start)) * 12 + F.month(at) - F.month(start)).cast("int")
+
+
+def retention_by_cohort(subscriptions: DataFrame, as_of: Column) -> DataFrame:
+    """cohort, age, size, retained, share: subscriptions by the month of their start, and how
+    many still ran ``age`` calendar months later.
+
+    A subscription runs through the month in which it ends.  One aggregate counts the ends per
+    cohort and age; the triangle is built from these few rows, up to the month of ``as_of``.
+    """
+    start, end = F.col("start_date"), F.col("end_date")
+    lasted = F.when((end <= as_of) & (end >= start), _age(start, end))
+    ended = subscriptions.filter(start <= as_of).groupBy(F.trunc(start, "month").alias("cohort"), lasted.alias("age")).agg(F.count("*").alias("n"))
+    size = ended.groupBy("cohort").agg(F.sum("n").alias("size"))
+    ages = size.withColumn("age", F.explode(F.sequence(F.lit(0), _age(F.col("cohort"), as_of))))
+    triangle = ages.join(ended.filter(F.col("age").isNotNull()), ["cohort", "age"], "left")
+    before = Window.partitionBy("cohort").orderBy("age").rowsBetween(Window.unboundedPreceding, -1)
+    retained = F.col("size") - F.coalesce(F.sum("n").over(before), F.lit(0))
+    return triangle.select("cohort", "age", "size", retained.alias("retained"), (retained / F.col("size")).alias("share"))
+
+
+def survival_curve(subscriptions: DataFrame, as_of: Column, unit: str = "day") -> DataFrame:
+    """age, at_risk, ended, survival: the product-limit estimate of a subscription's lifetime.
+
+    Subscriptions that run on ``as_of`` are censored at their age: they count as at risk up to
+    it and never as ended.  Only one row per age meets in a task.
+    """
+    start = F.col("start_date")
+    over = F.col("end_date").isNotNull() & (F.col("end_date") <= as_of)
+    last = F.when(over, F.greatest("end_date", start)).otherwise(as_of)
+    age = F.date_diff(last, start) if unit == "day" else _age(start, last)
+    ages = subscriptions.filter(start <= as_of).groupBy(age.alias("age")).agg(F.count("*").alias("n"), F.count_if(over).alias("ended"))
+    from_here = Window.orderBy(F.desc("age"))
+    at_risk = ages.withColumn("at_risk", F.sum("n").over(from_here))
+    upto = Window.orderBy("age").rowsBetween(Window.unboundedPreceding, 0)
+    kept = at_risk.withColumn("survival", F.product(F.lit(1.0) - F.col("ended") / F.col("at_risk")).over(upto))
+    return kept.filter(F.col("ended") > 0).select("age", "at_risk", "ended", "survival")
