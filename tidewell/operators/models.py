@@ -13,6 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewell.session import scratch_path
+
 
 def _features(columns: Sequence[str]) -> list:
     return [
@@ -26,7 +28,12 @@ def fit_churn(customers: DataFrame, features: Sequence[str], label: str) -> Pipe
     classifier = LogisticRegression(
         featuresCol="__features", labelCol=label, probabilityCol="__probability", maxIter=25
     )
-    return Pipeline(stages=[*_features(features), classifier]).fit(customers)
+    fitted = Pipeline(stages=[*_features(features), classifier]).fit(customers)
+    # a fitted classifier holds on to its training frame and would send it with every task;
+    # one that was stored and read again holds its weights alone
+    place = scratch_path(customers.sparkSession, "churn-model")
+    fitted.write().save(place)
+    return PipelineModel.load(place)
 
 
 def churn_scores(model: PipelineModel, customers: DataFrame) -> DataFrame:
