@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidewell.catalogue.base import Tables, query
 from tidewell.operators import metrics as m
 from tidewell.operators import models, sketches
+from tidewell.operators.quality import union_all
 from tidewell.session import settle
 
 _SUBSCRIPTIONS = """select o_orderkey as subscription_id, o_custkey as user_id, o_orderpriority as tier,
@@ -212,7 +213,8 @@ def churn_evaluation(t: Tables):
     counts = scored.agg(F.count("*").alias("tested"))
     sizes = train.agg(F.count("*").alias("trained"))
     both = train.join(scored, "c_custkey", "left_semi").agg(F.count("*").cast("int").alias("in_both"))
-    whole = sizes.join(counts).join(both).join(quality)
+    facts = union_all([sizes, counts, both, quality])
+    whole = facts.agg(*[F.max(c).alias(c) for c in facts.columns])
     sum_of = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     bounded = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("auc", "f1", "precision", "recall")]
     return whole.select(
@@ -245,14 +247,15 @@ def sketched_profile(t: Tables):
     events = t.events.withColumn("day", F.to_date("ts"))
     days = settle(sketches.daily_sketches(events, "day", ["user_id"], ["value"], ["event_type"]), "sketches")
     wanted = F.col("day").between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-21").cast("date"))
-    told = sketches.estimates(sketches.merged_sketches(days.filter(wanted)))
-    rows = events.filter(wanted)
-    exact = rows.agg(F.countDistinct("user_id").alias("users"))
-    near = told.join(exact).withColumn("middle", F.col("value_median"))
-    rank = rows.join(told.select("value_median")).agg(F.avg((F.col("value") < F.col("value_median")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("value_median")).cast("int")).alias("upto"))
-    error = F.abs(F.col("user_id_distinct") - F.col("users")) / F.col("users")
-    return near.join(rank).select(
-        "n", "users", (error <= 3 * sketches.HLL_ERROR).alias("users_within_error"),
-        ((F.col("below") <= 0.5 + sketches.KLL_ERROR) & (F.col("upto") >= 0.5 - sketches.KLL_ERROR)).alias("median_within_error"),
-        F.col("event_type_frequent")[0]["item"].alias("most_frequent"),
-    )
+    # one row of estimates
+    told = sketches.estimates(sketches.merged_sketches(days.filter(wanted))).first()
+    below, upto = (F.avg(which.cast("int")) for which in (F.col("value") < told["value_median"], F.col("value") <= told["value_median"]))
+    users = F.countDistinct("user_id")
+    error = F.abs(F.lit(told["user_id_distinct"]) - users) / users
+    return events.filter(wanted).agg(
+        F.lit(told["n"]).alias("n"),
+        users.alias("users"),
+        (error <= 3 * sketches.HLL_ERROR).alias("users_within_error"),
+        ((below <= 0.5 + sketches.KLL_ERROR) & (upto >= 0.5 - sketches.KLL_ERROR)).alias("median_within_error"),
+        F.lit(told["event_type_frequent"][0]["item"]).alias("most_frequent"),
+    )
