@@ -280,3 +280,12 @@ def test_timestamps_for_sql_server():
 
 def test_scratch_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir", scratch_root(spark))
+
+
+def test_held_rows_are_not_sent_to_the_driver(spark):
+    """Digests of rows that compress well look small to Spark and are many."""
+    at = datetime(2024, 1, 1)
+    held = spark.range(1000).select("id", F.lit(at).alias("at"))
+    found = watermark.rows_not_held(spark.range(1002).select("id", F.lit(at).alias("at")), held, "at", at)
+    assert "Broadcast" not in physical(found)
+    assert rows(found) == [(1000, at), (1001, at)]

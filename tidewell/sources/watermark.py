@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidewell.functions.lattice import wider
-from tidewell.operators.references import lacking_reference
+from tidewell.operators.references import lacking_reference, unique_keys
 from tidewell.sources.lake import cast_to
 
 EPOCH = datetime(1900, 1, 1)
@@ -68,10 +68,13 @@ def rows_not_held(rows: DataFrame, held: DataFrame | None, column: str, watermar
     known = [F.col(c) if c in held.columns else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in names]
 
     def identity(columns):
-        return F.sha2(F.to_json(F.struct(*columns)), 256)
+        return F.unhex(F.sha2(F.to_json(F.struct(*columns)), 256))
 
-    before = held.filter(doubtful).select(identity(known).alias("__held"))
-    return rows.join(before, identity([F.col(c) for c in names]) == F.col("__held"), "left_anti")
+    before = unique_keys(held.filter(doubtful).select(identity(known).alias("__held")))
+    named = rows.withColumn("__identity", identity([F.col(c) for c in names]))
+    # digests are far wider than the compressed rows by which Spark judges their size, so
+    # they would be broadcast through the driver long past its threshold
+    return named.join(before.hint("merge"), F.col("__identity") == F.col("__held"), "left_anti").drop("__identity")
 
 
 def rows_to_copy(
