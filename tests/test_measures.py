@@ -132,3 +132,17 @@ def test_a_range_without_days(spark):
     days = sketches.daily_sketches(events(spark, 100, 1), "day", ["user"])
     told = sketches.estimates(sketches.merged_sketches(days.filter("day is null"))).first()
     assert told.user_distinct == 0 and told.n is None
+
+
+def test_segments_are_evaluated_over_features_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(n):
+        made.add(1)
+        return float(n % 10)
+
+    customers = spark.range(300).select("id", counted("id").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    found = models.evaluate_segments(customers, "id", ["a", "b"], [2, 3])
+    assert {r["segments"] for r in found.collect()} == {2, 3}
+    assert made.value == 300, "each count of segments reads what was written once"

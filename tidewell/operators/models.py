@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.session import scratch_path
+from tidewell.session import scratch_path, settle
 
 
 def _features(columns: Sequence[str]) -> list:
@@ -87,6 +87,8 @@ def evaluate_churn(customers: DataFrame, key: str, features: Sequence[str], labe
 def evaluate_segments(customers: DataFrame, key: str, features: Sequence[str], counts: Sequence[int], seed: int = 1) -> DataFrame:
     """segments, customers, used, silhouette: how well each number of clusters fits held-out customers."""
     spark = customers.sparkSession
+    # every fit and score reads the features several times; what makes them is run once
+    customers = settle(customers.select(key, *features), "segment-features")
     train, test = customers.filter(~held_out(key)), customers.filter(held_out(key))
     told = []
     for count in counts:
