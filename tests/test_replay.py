@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from conftest import physical, rows
 
 from tidewell.operators import upsert
 from tidewell.operators.quality import Rule, required
@@ -162,3 +162,14 @@ def test_curation_replays_by_itself(spark, tmp_path):
     upsert.upsert_path(spark, f"{root}/silver/users", everyone, ["user_id"], buckets=2)
     outcomes = jobs.curate_all(spark, root, "b2", names=["subscriptions"], buckets=2)
     assert outcomes[0].status == "loaded" and lake.read_lake(spark, f"{root}/silver/subscriptions").count() > 0
+
+
+def test_no_task_reads_a_whole_batch_of_the_quarantine(spark, conf):
+    """What stays in the quarantine is found by row, also where no side is small."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    schema = "batch_id string, reason string, payload string"
+    whole = spark.createDataFrame([("b", "r", str(n % 50)) for n in range(100)] + [("c", "r", "1")], schema)
+    candidates = whole.filter("batch_id = 'b' and payload < '3'")
+    staying = replay._staying(whole, candidates)
+    assert "hashpartitioning(batch_id" not in physical(staying)
+    assert rows(staying) == rows(whole.filter("batch_id = 'b' and payload >= '3'"))

@@ -86,6 +86,20 @@ def _waiting(rows: DataFrame, plan: EntityPlan, arrived: Mapping[str, DataFrame]
     return rows.filter(reduce(Column.__or__, hits)).drop("__keys", *[f"__hit{n}" for n in range(len(hits))])
 
 
+def _staying(whole: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Quarantined rows of the candidates' batches that are no candidates.
+
+    Copies of a candidate are candidates too, so what is unlike them all stays.
+    """
+    identity = F.unhex(F.sha2(F.to_json(F.struct("batch_id", "reason", "payload")), 256))
+    # one row per batch; joined by shuffle a whole batch would be read by one task
+    touched = F.broadcast(candidates.select("batch_id").distinct())
+    others = whole.join(touched, "batch_id", "left_semi").withColumn("__own", identity)
+    # digests are far wider than the compressed rows by which Spark judges their size
+    gone = unique_keys(candidates.select(identity.alias("__id"))).hint("merge")
+    return others.join(gone, F.col("__own") == F.col("__id"), "left_anti").drop("__own")
+
+
 def replay(
     spark: SparkSession,
     plan: EntityPlan,
@@ -118,12 +132,7 @@ def replay(
         accepted = plan.accepted(audited.drop(_ROW))
         merged = upsert_path(spark, target, accepted, plan.merge_keys, plan.newer_than, buckets, plan.newest)
 
-        # copies of a candidate are candidates too, so what is unlike them all stays
-        same = ["batch_id", "reason", "payload"]
-        identity = F.sha2(F.to_json(F.struct(*same)), 256)
-        touched = candidates.select("batch_id").distinct()
-        others = whole.join(touched, "batch_id", "left_semi")
-        stay = others.join(candidates.select(identity.alias("__id")), identity == F.col("__id"), "left_anti").select(columns)
+        stay = _staying(whole, candidates).select(columns)
         batches = candidates.select(_ROW, F.col("batch_id").alias("__batch"))
         still = audited.filter(~alive()).join(batches, _ROW).drop(_ROW)
         judged = envelope(still, plan.name, FAILED, F.col("__batch"), ["__batch"])
