@@ -1,15 +1,17 @@
 """Hand-made rows through the ten entity plans: every rule, every edge."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
-from conftest import rows
+from conftest import physical, rows
 from pyspark.sql import functions as F
 
+from tidewell.operators import dedup, upsert
 from tidewell.operators.nested import infer_json_schema
+from tidewell.plans import jobs
 from tidewell.plans.entity import SUPERSEDED
 from tidewell.plans.entities import ENTITIES, strict, usage_events_plan, users_plan
-from tidewell.plans.steps import Context
+from tidewell.plans.steps import Context, Latest, unmarked
 
 D1, D2, D3 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
 I1, I2, I3 = "2024-02-01 00:00:00", "2024-02-02 00:00:00", "2024-02-03 00:00:00"
@@ -345,3 +347,51 @@ def test_repeated_reference_keys_multiply_no_rows(spark):
     context = case.context(spark)
     twice = Context({n: t.unionAll(t) for n, t in context.tables.items()}, context.as_of)
     assert plan.audited(case.raw(spark), twice).count() == case.raw(spark).count()
+
+
+PAYMENT = "payment_id string, subscription_id long, amount double, currency string, payment_status string, payment_date timestamp, payment_method string, ingest_time timestamp"
+
+
+def _payments(spark):
+    """Keys that differ as text alone, null and hot ones, copies, older and broken rows."""
+    at = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    made = [(str(k), k % 7, 1.0 + k, "usd", "success", at[k % 3], "paypal", at[k % 2]) for k in range(40)]
+    made += [(f"0{k}", 1, 2.0, "usd", "success", at[2], "paypal", at[2]) for k in range(0, 40, 3)]
+    made += [("7", 1, 3.0 + n % 5, "usd", "success" if n % 3 else "odd", at[n % 3], "paypal", at[n % 2]) for n in range(60)]
+    made += [(None, 2, 4.0 + n % 4, "eur", "failed", at[n % 2], "paypal", at[0]) for n in range(50)]
+    made += made[:10]
+    return spark.createDataFrame(made, PAYMENT).repartition(5)
+
+
+def test_audits_of_dealt_rows_equal_those_in_lanes(spark, monkeypatch):
+    """Also where some keys are hot, which are then ranked in lanes."""
+    plan = ENTITIES["payments"]
+    context = Context({"subscriptions": spark.range(1, 5).toDF("subscription_id")})
+    raw = _payments(spark)
+    slow = unmarked(raw)
+    for step in [*plan.steps, Latest(plan.batch_key, plan.newest, SUPERSEDED)]:
+        slow = step.audit(slow, context)
+    expected = rows(slow.select(*plan.columns, "_failed"))
+    for least in (20_000, 5):
+        monkeypatch.setattr(dedup, "HOT_ROWS", least)
+        monkeypatch.setattr(dedup, "HOT_SHARE", 0)
+        assert rows(plan.audited(raw, context).select(*plan.columns, "_failed")) == expected
+    cold, hot = dedup.split_hot(raw, F.col("payment_id").cast("bigint"))
+    assert {r["payment_id"] for r in hot.select("payment_id").distinct().collect()} == {"7", None}
+    assert cold.count() + hot.count() == raw.count()
+
+
+def test_an_audit_deals_its_rows_once(spark):
+    """Rows meet no more for each choice of a latest row, twice each."""
+    plan = ENTITIES["payments"]
+    context = Context({"subscriptions": spark.range(1, 5).toDF("subscription_id")})
+    found = physical(plan.audited(_payments(spark), context))
+    assert "Exchange hashpartitioning(payment_id" in found and "REPARTITION_BY_COL" in found
+
+
+def test_rows_that_were_reduced_are_not_reduced_again(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "reduce_batch", lambda *_: pytest.fail("accepted rows hold each key once"))
+    context = Context({"subscriptions": spark.range(1, 5).toDF("subscription_id")})
+    places = f"{tmp_path}/silver", f"{tmp_path}/quarantine"
+    told = jobs.publish_accounted(spark, ENTITIES["payments"], _payments(spark), context, *places, "b0", buckets=2)
+    assert told.merged.inserted == spark.read.parquet(places[0]).count() > 0

@@ -165,11 +165,13 @@ def upsert_path(
     newer_than: str | None = None,
     buckets: int | None = None,
     newest: Sequence[str] | None = None,
+    reduced: bool = False,
 ) -> Merged:
     """Upsert into a parquet table kept in hash buckets of the merge key.
 
     The batch may repeat keys: the row highest in ``newest`` (``newer_than``
-    unless given) counts.  New columns of the batch are added to the table.  The
+    unless given) counts, and ``reduced`` says that none is repeated
+    and that the batch is stored rows, which need not be written again.  New columns of the batch are added to the table.  The
     number of buckets is kept with the table; 64 for a new one, and another one
     is refused (see ``rebucket``).
 
@@ -191,7 +193,10 @@ def upsert_path(
         raise ValueError(f"{path} has {table.buckets} buckets of {table.keys}, not {count} of {list(keys)}")
     order = list(newest) if newest is not None else [newer_than] if newer_than else []
     with settling(spark) as settled:
-        rows = settled(with_bucket(reduce_batch(batch, keys, order), keys, count), "upsert-batch")
+        if reduced:
+            rows = with_bucket(batch, keys, count)
+        else:
+            rows = settled(with_bucket(reduce_batch(batch, keys, order), keys, count), "upsert-batch")
         # Bucket numbers only, so never more than ``buckets`` of them.
         touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
         remember_schema(spark, path, rows.schema, new=table is None)

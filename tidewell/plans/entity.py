@@ -6,18 +6,45 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.dedup import latest
+from tidewell.functions.casting import lenient
+from tidewell.operators.dedup import latest, split_hot
 from tidewell.operators.quality import envelope, quality_report
 from tidewell.operators.upsert import merge_frames
-from tidewell.plans.steps import FAILED, Context, Latest, alive, unmarked
+from tidewell.plans.steps import FAILED, Check, Context, Derive, Latest, References, Reshape, Typed, alive, unmarked
 
 SUPERSEDED = "superseded by a newer row of the key"
 REFUSED = "not newer than the stored row of the key"
 
 
+def _narrow_first(steps: Sequence[Any], held: set[str], context: Context) -> list[Any]:
+    """The last choice of a row before the derivations at the end, if these only add columns:
+    such columns follow from others and decide no tie."""
+    *before, last = steps
+    tail = len(before)
+    while tail and isinstance(before[tail - 1], Derive) and not held & set(before[tail - 1].columns(context)):
+        tail -= 1
+    return [*before[:tail], last, *before[tail:]]
+
+
+def _audited(steps: Sequence[Any], rows: DataFrame, context: Context) -> DataFrame:
+    """Rows after the audit of every step.  From the first reference on, rows that are
+    rejected already are judged no more and keep out of its joins and contests."""
+    first = next((n for n, step in enumerate(steps) if isinstance(step, References)), len(steps))
+    for step in steps[:first]:
+        rows = step.audit(rows, context)
+    if first == len(steps):
+        return rows
+    rejected, rows = rows.filter(~alive()), rows.filter(alive())
+    for step in _narrow_first(steps[first:], set(rows.columns), context):
+        rows = step.audit(rows, context)
+        if not isinstance(step, (Check, Latest, References)):
+            rejected = step.audit(rejected, context)
+    return rows.unionByName(rejected)
+
+
 @dataclass(frozen=True)
 class EntityPlan:
     """Steps in order, then one row per key for the upsert.
@@ -62,12 +89,40 @@ class EntityPlan:
         return latest(curated, self.batch_key or self.merge_keys, self.newest)
 
     def audited(self, raw: DataFrame, context: Context) -> DataFrame:
-        """Every row, with the reasons for which it was rejected."""
+        """Every row, with the reasons for which it was rejected.
+
+        Where one raw column is part of every grain, rows are dealt by it once and lie
+        right for every choice of a latest row; those of hot keys are ranked in lanes.
+        """
         rows = unmarked(raw)
-        last = Latest(self.batch_key or self.merge_keys, self.newest, SUPERSEDED)
-        for step in [*self.steps, last]:
-            rows = step.audit(rows, context)
-        return rows
+        steps = [*self.steps, Latest(self.batch_key or self.merge_keys, self.newest, SUPERSEDED)]
+        key = self._common_key(steps, context)
+        if key is None:
+            return _audited(steps, rows, context)
+        name, typed = key
+        cold, hot = split_hot(rows, typed)
+        gathered = [replace(s, gathered=True) if isinstance(s, Latest) else s for s in steps]
+        parts = [_audited(gathered, cold.repartition(name), context), _audited(steps, hot, context)]
+        return parts[0].unionByName(parts[1])
+
+    def _common_key(self, steps: Sequence[Any], context: Context) -> tuple[str, Column] | None:
+        """A raw column in every grain, and its value at the end of the plan by which rows
+        of one key are known; None where a step makes the column anew."""
+        grains = [s.grain for s in steps if isinstance(s, Latest)]
+        for name in grains[-1]:
+            if not all(name in g for g in grains):
+                continue
+            typed = F.col(name)
+            for step in steps:
+                if isinstance(step, Typed) and name in step.schema:
+                    typed = lenient(typed, step.schema[name])
+                elif isinstance(step, Reshape) or (isinstance(step, Derive) and name in step.columns(context)):
+                    break
+                elif isinstance(step, Typed) and any("<-" in k for k in step.schema):
+                    break
+            else:
+                return name, typed
+        return None
 
     def accepted(self, audited: DataFrame) -> DataFrame:
         """The rows that ``batch`` gives, one per key."""

@@ -238,7 +238,7 @@ def publish_accounted(
     repetition of the stored row, or in the quarantine with its reason."""
     with settling(spark) as settled:
         audited = settled(plan.audited(canonical_lineage(raw), context), f"audit-{plan.name}")
-        merged = upsert_path(spark, target, plan.accepted(audited), plan.merge_keys, plan.newer_than, buckets, plan.newest)
+        merged = upsert_path(spark, target, plan.accepted(audited), plan.merge_keys, plan.newer_than, buckets, plan.newest, reduced=True)
         rejected = plan.quarantine(audited, batch_id)
         refused = merged.refused_frame(spark, target)
         if refused is not None:

@@ -107,12 +107,14 @@ class Latest:
     grain: Sequence[str]
     order: Sequence[str] = ("ingest_time",)
     message: str = "duplicate"
+    # no grain is too large for one task
+    gathered: bool = False
 
     def keep(self, df: DataFrame, context: Context) -> DataFrame:
         return latest(df, self.grain, self.order)
 
     def audit(self, df: DataFrame, context: Context) -> DataFrame:
-        marked = mark_latest(df, self.grain, self.order, "__latest", among=alive())
+        marked = mark_latest(df, self.grain, self.order, "__latest", alive(), self.gathered)
         reasons = F.when(~F.col("__latest"), F.array(F.lit(self.message))).otherwise(F.col(FAILED))
         return _reject(marked, reasons).drop("__latest")
 
