@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import latest
-from tidewell.session import remove_path, settling
+from tidewell.session import COMPRESSION, remove_path, settling
 from tidewell.sources.lake import (
     BUCKET,
     LOAD,
@@ -217,7 +217,7 @@ def _commit_rows(spark: SparkSession, path: str, rows: DataFrame, touched: Seque
     rows = rows.observe(seen, *[F.count_if(F.coalesce(F.col(_OUTCOME) == kind, F.lit(False))).alias(kind) for kind in kinds])
     bucket = F.when(F.col(_OUTCOME) == REFUSED, F.lit(REFUSED_BUCKET)).otherwise(F.col(BUCKET))
     rows = rows.withColumn(BUCKET, bucket).drop(_OUTCOME)
-    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{LOAD}={load}")
+    rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{LOAD}={load}", compression=COMPRESSION)
     commit_load(spark, path, table.after({bucket: load for bucket in touched}))
     return Merged(*[seen.get[kind] for kind in kinds], refused_rows=f"{path}/{LOAD}={load}/{BUCKET}={REFUSED_BUCKET}")
 

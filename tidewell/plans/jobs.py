@@ -17,7 +17,7 @@ from tidewell.plans.entities import ENTITIES
 from tidewell.plans.entity import REFUSED, EntityPlan
 from tidewell.plans.replay import replay_entity
 from tidewell.plans.steps import Context
-from tidewell.session import settling
+from tidewell.session import COMPRESSION, settling
 from tidewell.sources import jdbc
 from tidewell.sources.files import load_seed
 from tidewell.sources.lake import (
@@ -247,7 +247,7 @@ def publish_accounted(
             rejected.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
-            .parquet(quarantine)
+            .parquet(quarantine, compression=COMPRESSION)
         )
         report = plan.report(audited)
         # one row per rule

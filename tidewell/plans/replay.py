@@ -26,7 +26,7 @@ from tidewell.operators.references import Reference, unique_keys
 from tidewell.operators.upsert import Merged, upsert_path
 from tidewell.plans.entity import SUPERSEDED, EntityPlan
 from tidewell.plans.steps import FAILED, Check, Context, Latest, References, alive, unmarked
-from tidewell.session import remove_path, settling
+from tidewell.session import COMPRESSION, remove_path, settling
 from tidewell.sources.lake import BUCKET, current_load, load_mark, path_exists, read_lake, state_at, store_mark
 from tidewell.sources.lineage import canonical_lineage
 
@@ -141,7 +141,7 @@ def replay(
         if refused is not None:
             kept.append(plan.refused(refused, f"replay-{batch_id}"))
         left = settled(union_all(kept), "quarantine")
-        left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine)
+        left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine, compression=COMPRESSION)
         # batches of which nothing is left; one row per batch reaches the driver
         empty = candidates.select("batch_id", "__folder").distinct().join(left.select("batch_id").distinct(), "batch_id", "left_anti")
         for row in empty.collect():
