@@ -244,3 +244,15 @@ def test_texts_without_a_letter_have_no_language(spark):
     found = {r["doc_id"]: r for r in language.identify(docs, language.fit(docs)).collect()}
     assert [(found[100 + k]["lang_pred"], found[100 + k]["score"]) for k in range(6)] == [("und", 0.0)] * 6
     assert found[0]["lang_pred"] == "en"
+
+
+def test_language_does_not_depend_on_what_tasks_can_hold(spark):
+    rows, _ = corpus(90)
+    rows += [(1000 + k, text, lang, "s", 1, "", "", "", "") for k, (text, lang) in enumerate([("ΩMEGA ciel", "zz"), ("the 𝔘nion x²", "zz"), ("ж", None), (None, "xx"), ("", "xx"), ("12", None)])]
+    rows += rows[:5] + [(None, "the north", None, "s", 1, "", "", "", "")] * 2
+    docs = documents(spark, rows)
+    whole = bag(tuple(r) for r in language.identify(docs, language.fit(docs)).collect())
+    for cells in (100, 0):
+        model = language.fit(docs, cells=cells)
+        assert bool(cells) <= model.grams[-1][1].size <= cells
+        assert bag(tuple(r) for r in language.identify(docs, model).collect()) == whole
