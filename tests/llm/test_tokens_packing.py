@@ -124,3 +124,14 @@ def test_groups_with_gaps_exchange(spark):
 
 def test_nothing_to_pack(spark):
     assert packing.pack_documents(documents(spark, []), queries.vocabulary()).count() == 0
+
+
+def test_documents_are_encoded_whole_as_by_the_library(spark):
+    """In one call each: before, every word went through a cache of its own bytes."""
+    assert not hasattr(packing, "Cache")
+    path = queries.vocabulary()
+    library = tokens.Encoder(path).library
+    texts = ["", " ", "a  b\n\n c", "x<|endoftext|> y", "\ufeffé 中文\u3000 don't 12345", "\u200b\x1c\x85 z ", None]
+    docs = documents(spark, [(k, t, "en", "s", 1, "", "", "", "") for k, t in enumerate(texts)])
+    found = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in packing.pieces(docs, path, keep_ids=True).collect()}
+    assert found == {k: [*library.encode(t or "", add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}

@@ -15,6 +15,7 @@ each; ties are broken by (doc_id, piece, checksum).  An empty table gives no row
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.tokens import Cache, cut
+from tidewell.llm.tokens import Encoder
 from tidewell.llm.workers import slices
 from tidewell.session import settle
 
@@ -33,21 +34,19 @@ ROUNDS = 4
 
 
 def _bytes_of(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+    return np.asarray(array("I", ids), "<u4").tobytes()
 
 
 def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of every document's pieces."""
 
     def encode(batches):
-        cache = Cache(path, _bytes_of)
-        closing = _bytes_of([CLOSING_ID])
+        encoder = Encoder(path)
         for batch in slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                first, *rest = cut(text or "")
-                ids = b"".join([cache.first(first), *map(cache.__getitem__, rest), closing])
-                cache.rest()
+                # whole: most pieces of a text are too rare for a cache to pay
+                ids = _bytes_of([*encoder.ids(text or ""), CLOSING_ID])
                 total = len(ids) // 4
                 start, length, piece = 0, total % size or size, 0
                 while start < total:
