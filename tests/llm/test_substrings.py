@@ -97,3 +97,16 @@ def test_ranks():
     assert (bits.ones(np.arange(301)) == np.concatenate([[0], np.cumsum(symbols > 5)])).all()
     order = suffix_order(np.array([2, 1, 2, 1, 0]))
     assert list(order) == [4, 3, 1, 2, 0]
+
+
+def test_a_line_repeated_in_a_document_is_one_passage(spark, monkeypatch):
+    line = [f"w{k}" for k in range(12)]
+    rows = [(d, " ".join([f"a{d}", *line * 30, f"z{d}", *line * 10]), "en", "s", 1, "", "", "", "") for d in range(6)]
+    settled = {}
+    kept = substrings.settle
+    monkeypatch.setattr(substrings, "settle", lambda df, label: settled.setdefault(label, kept(df, label)))
+    monkeypatch.setattr(substrings, "PASSAGES", 3)
+    assert bag(substrings.without_repeats(documents(spark, rows)).collect()) == brute(rows)
+    by_document = settled["passages"].groupBy("doc_id").count().collect()
+    # 12 windows of the line, 49 around each place that is the document's own
+    assert len(by_document) == 6 and all(r["count"] <= 12 + 4 * 50 for r in by_document)

@@ -10,7 +10,8 @@ in a document with a smaller id.  The work is led to small shards in steps:
    Anchors that only one class has are done; for the others the class's words are
    fetched and each run becomes a passage, routed by its anchor.  An anchor with more
    than ``PASSAGES`` passages is split: each of its windows is a passage, routed by its
-   own hash, and equal windows of a task are sent once.
+   own hash, and equal windows of a task are sent once.  Equal passages of one document are
+   one row with all their places, so that a line that it repeats is answered once.
 3. Equal passages are joined into one with the smallest id.  Each shard of passages
    builds a compressed FM-index, and streams its passages through it: backward search
    gives the windows that occur and the smallest id they occur under.
@@ -142,19 +143,21 @@ def _surveyed(docs: DataFrame) -> DataFrame:
 
 
 def _passages(texts: DataFrame, kind: str) -> DataFrame:
-    """Passages of texts(doc_id, text, class, runs): their route, hash and place, and their
-    words once per task."""
+    """Distinct passages of each of texts(doc_id, text, class, runs): their route, hash and
+    places, and their words once per task."""
 
     def run(batches):
         hashes, rolling = WordHashes(), Rolling()
         sent: set[bytes] = set()
-        names = ["route", "digest", "doc_id", "class", "start", "words"]
+        names = ["route", "digest", "doc_id", "class", "starts", "words"]
         for batch in slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for doc, text, key, found in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 codes = hashes.of(_words(text))
                 if _class(codes) != key:
                     continue  # another text under the same id
+                places: dict[tuple[int, bytes], list[int]] = {}
+                bodies: dict[bytes, bytes] = {}
                 for part in found:
                     start, windows = part["start"], part["windows"]
                     pieces = [(part["anchor"], start, windows)]
@@ -164,15 +167,18 @@ def _passages(texts: DataFrame, kind: str) -> DataFrame:
                     for route, at, n in pieces:
                         words = codes[at : at + n + WINDOW - 1].tobytes()
                         digest = xxhash.xxh128_digest(words)
-                        for column, value in zip(out, (route, digest, doc, key, at, None if digest in sent else words)):
-                            column.append(value)
-                        sent.add(digest)
-                        if len(sent) > 200_000:
-                            sent.clear()
-            kinds = [pa.int64(), pa.binary(), batch.schema.field(0).type, pa.int64(), pa.int32(), pa.binary()]
+                        places.setdefault((route, digest), []).append(at)
+                        bodies[digest] = words
+                for (route, digest), starts in places.items():
+                    for column, value in zip(out, (route, digest, doc, key, sorted(starts), None if digest in sent else bodies[digest])):
+                        column.append(value)
+                    sent.add(digest)
+                    if len(sent) > 200_000:
+                        sent.clear()
+            kinds = [pa.int64(), pa.binary(), batch.schema.field(0).type, pa.int64(), pa.list_(pa.int32()), pa.binary()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
-    schema = f"route long, digest binary, doc_id {kind}, class long, start int, words binary"
+    schema = f"route long, digest binary, doc_id {kind}, class long, starts array<int>, words binary"
     return texts.select("doc_id", "text", "class", "runs").mapInArrow(run, schema)
 
 
@@ -242,9 +248,10 @@ def _repeated(docs: DataFrame, surveyed: DataFrame) -> tuple[DataFrame, DataFram
     shards = max(1, int(size // SHARD_WORDS))
     sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards)))
     answers = settle(_searched(sharded), "answers")
-    places = passages.select("route", "digest", "doc_id", "class", "start").distinct()
-    windows = places.join(answers, ["route", "digest"]).select("doc_id", "class", "start", F.posexplode("found").alias("k", "under"))
-    windows = windows.where(F.col("under") < F.col("doc_id")).select("doc_id", "class", (F.col("start") + F.col("k")).alias("start"))
+    places = passages.select("route", "digest", "doc_id", "class", "starts").distinct()
+    windows = places.join(answers, ["route", "digest"]).select("doc_id", "class", "starts", F.posexplode("found").alias("k", "under"))
+    windows = windows.where(F.col("under") < F.col("doc_id")).select("doc_id", "class", "k", F.explode("starts").alias("start"))
+    windows = windows.select("doc_id", "class", (F.col("start") + F.col("k")).alias("start"))
     return windows, classes
 
 
