@@ -179,6 +179,39 @@ def test_a_region_of_many_unlike_classes_sends_a_forest(spark, monkeypatch):
     assert bag(found.collect()) == brute(rows)
 
 
+def test_every_class_of_a_component_meets_an_unlike_one(spark):
+    """A component of many classes that agree with another one, of which one class alone is similar enough."""
+    words = [f"b{k}" for k in range(204)]
+    pick = random.Random(4)
+    rows = {100: words, 39: [f"y{k}" if k in (50, 51, 52, 120) else w for k, w in enumerate(words)]}
+    for n in range(39):
+        # 22 of 200 shingles changed: below the threshold, above what signatures tell apart
+        places = {start + k for start in (pick.randrange(10, 85), pick.randrange(100, 185)) for k in range(7)}
+        rows[n] = [f"z{n}_{k}" if k in places else w for k, w in enumerate(words)]
+    sets = {n: shingles(" ".join(w)) for n, w in rows.items()}
+    close = {n for n in rows if n != 100 and 100 * len(sets[n] & sets[100]) >= 85 * len(sets[n] | sets[100])}
+    assert close == {39}
+    docs = documents(spark, [(n, " ".join(w), "en", "s", 1, "", "", "", "") for n, w in rows.items()])
+    members = neardup._members(docs)
+    classes = neardup.settle(members.select("digest", F.col("doc_id").alias("node"), "signature"), "classes")
+    size = 2 * neardup.DEPTH
+    labels = F.explode(F.array(*[F.struct(F.lit(t).alias("tree"), F.substring("signature", size * t + 1, size).alias("label")) for t in range(neardup.TREES)]))
+    component = F.when(F.col("node") == 100, F.col("node")).otherwise(F.lit(0).cast("long")).alias("component")
+    orders = neardup.settle(classes.select("node", component, labels.alias("l")).select("l.tree", "l.label", "node", "component"), "orders")
+    least = neardup.agreeing(neardup.THRESHOLD)
+    regions = {}
+    for r in orders.collect():
+        regions.setdefault((r["tree"], bytes(r["label"][: 2 * neardup.PREFIX])), set()).add(r["node"])
+    shared = set().union(*(nodes for nodes in regions.values() if 100 in nodes and len(nodes) > neardup.NEIGHBOURS + 1))
+    pairs = spark.createDataFrame([(n, 100) for n in shared - {100}], "a long, b long")
+    agreeing = {r["a"] for r in neardup._likely(pairs, classes, least).collect()}
+    assert len(agreeing) > 10 and 39 in agreeing
+    candidates = [tuple(sorted(r)) for r in neardup._candidate_links(orders, classes, least).collect()]
+    assert {n for pair in candidates for n in pair} == agreeing | {100}
+    links = {tuple(sorted(r)) for r in neardup._region_links(docs, orders, classes, neardup.THRESHOLD).collect()}
+    assert links == {(39, 100)}
+
+
 def test_a_class_meets_the_hubs_of_a_region_in_one_row(spark, monkeypatch):
     settled = {}
     kept = neardup.settle
