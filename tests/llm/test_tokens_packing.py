@@ -1,7 +1,9 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import awkward, bag, documents
 from hypothesis import given, settings
@@ -47,6 +49,41 @@ def test_a_full_cache_is_emptied():
     assert dict(cache) == {"the": 1}
 
 
+def test_a_long_task_does_not_cut_its_counts_for_every_text(monkeypatch):
+    """As many new pieces come between two cuts as a cut leaves, even where every piece is repeated."""
+    made = []
+
+    class Counted(Counter):
+        def __init__(self, *given):
+            made.append(len(given[0]) if given else 0)
+            super().__init__(*given)
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+        groupBy = agg = select
+
+    monkeypatch.setattr(tokens, "Counter", Counted)
+    monkeypatch.setattr(tokens, "COUNTED_PER_TASK", 100)
+    docs = Docs()
+    monkeypatch.setattr(tokens.F, "col", lambda _: Docs())
+    monkeypatch.setattr(Docs, "cast", lambda self, _: self, raising=False)
+    monkeypatch.setattr(Docs, "alias", lambda self, _: self, raising=False)
+    monkeypatch.setattr(tokens.F, "sum", lambda _: Docs())
+    tokens.frequent_pieces(docs)
+    often = ["x", *["often"] * 5]
+    texts = [" ".join([*often, *[f"p{k}" for k in range(150) for _ in range(2)]])] + [" ".join([*often, f"q{k}", f"q{k}"]) for k in range(300)]
+    (head,) = docs.run([pa.record_batch([pa.array(texts)], ["text"])])
+    found = dict(zip(head.column(0).to_pylist(), head.column(1).to_pylist()))
+    assert found["often"] == 5 * len(texts) and len(found) <= 100
+    assert len(made) < 30
+
+
 def smallest(lengths, size):
     """Fewest sequences, by trying everything."""
     best = [len(lengths)]

@@ -126,6 +126,14 @@ class Cache(dict):
             self.update(self.table)
 
 
+def most_frequent(seen: Counter) -> Counter:
+    """The pieces met more than once, at most COUNTED_PER_TASK // 2: as many new ones are met
+    before this is called again, so a task's time follows its texts however long it is."""
+    often = Counter({p: n for p, n in seen.items() if n > 1})
+    most = COUNTED_PER_TASK // 2
+    return often if len(often) <= most else Counter(dict(often.most_common(most)))
+
+
 def frequent_pieces(docs: DataFrame, column: str = "text") -> DataFrame:
     """The heads of each task's piece counts, added up; bounded per task."""
 
@@ -135,7 +143,7 @@ def frequent_pieces(docs: DataFrame, column: str = "text") -> DataFrame:
             for text in batch.column(0).to_pylist():
                 seen.update(cut(text or "")[1:])
                 if len(seen) > COUNTED_PER_TASK:
-                    seen = Counter({p: n for p, n in seen.items() if n > 1} if len(seen) < 2 * COUNTED_PER_TASK else dict(seen.most_common(COUNTED_PER_TASK // 2)))
+                    seen = most_frequent(seen)
         head = heapq.nlargest(HEAD_PER_TASK, ((n, p) for p, n in seen.items() if 0 < len(p) <= PIECE_CHARS))
         yield pa.record_batch([pa.array([p for _, p in head], pa.string()), pa.array([n for n, _ in head], pa.int64())], ["piece", "n"])
 
