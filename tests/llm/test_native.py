@@ -6,6 +6,7 @@ import re
 import duckdb
 import pytest
 from cases import awkward, bag, documents
+from conftest import physical
 
 from tidewell.llm import decontaminate, pii
 
@@ -61,6 +62,13 @@ def test_against_sql(spark, tmp_path):
     assert decontaminate.overlaps(docs, benchmark(spark, [])).count() == 0
 
 
+def test_a_text_is_held_once_however_many_seeds_it_has(spark):
+    found = decontaminate.overlaps(documents(spark), benchmark(spark, [(1, ITEM, "", "")]))
+    assert "arrays_zip" not in physical(found)
+    # nor does every reading thread keep a row group of texts outside the heap
+    assert spark.conf.get("parquet.hadoop.vectored.io.enabled", None) == "false"
+
+
 def test_plans_have_no_python(spark):
     plans = [decontaminate.overlaps(documents(spark), benchmark(spark, [(1, ITEM, "", "")])), pii.pseudonymised(documents(spark), KEY)]
     for frame in plans:
