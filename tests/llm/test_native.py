@@ -69,6 +69,16 @@ def test_a_text_is_held_once_however_many_seeds_it_has(spark):
     assert spark.conf.get("parquet.hadoop.vectored.io.enabled", None) == "false"
 
 
+@pytest.mark.parametrize("most", [10, 0])
+def test_few_leaked_ids_shuffle_no_text(spark, conf, monkeypatch, most):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr(decontaminate, "BROADCAST_IDS", most, raising=False)
+    rows = [(k, ITEM if k % 7 == 3 else f"document {k}", "en", "s", 1, "", "", "", "") for k in range(40)] + [(None, ITEM, "en", "s", 1, "", "", "", "")]
+    clean = decontaminate.clean(documents(spark, rows), benchmark(spark, [(1, ITEM, "", "")]))
+    assert ("SortMergeJoin" in physical(clean)) == (most == 0)
+    assert bag(clean.collect()) == bag(r for r in rows if r[0] is None or r[0] % 7 != 3)
+
+
 def test_plans_have_no_python(spark):
     plans = [decontaminate.overlaps(documents(spark), benchmark(spark, [(1, ITEM, "", "")])), pii.pseudonymised(documents(spark), KEY)]
     for frame in plans:
